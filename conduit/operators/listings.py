@@ -92,7 +92,7 @@ def _entry(name, size, mtime, kind, is_dir, is_file, ident) -> Column:
         "name": name,
         "size": size,
         "mtime": mtime,
-        "mtime_kind": F.when(mtime.isNotNull(), kind),
+        "mtime_kind": kind,
         "is_dir": is_dir,
         "is_file": is_file,
         "id": ident,
@@ -112,7 +112,7 @@ def _facts_entry(groups: Column) -> Column:
         groups[1],
         _number(fact(r"(?s)\A.*,s([0-9]+),")),
         _number(fact(r"(?s)\A.*,m([0-9]+),")),
-        F.lit("local"),
+        F.when(facts.rlike(",m[0-9]+,"), "local"),
         facts.contains(",/"),
         facts.contains(",r"),
         fact(r"(?s)\A.*,i([^,]*),"),

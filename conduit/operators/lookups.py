@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conduit.functions.network import validate
+from conduit.session import local_table
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,14 @@ class Topic:
 
 def topic_table(spark, topics: Sequence[Topic]) -> DataFrame:
     """Registered topics in order as a frame ``(topic_index, name, target)``."""
-    rows = [(at, t.name, t.target) for at, t in enumerate(topics)]
-    return spark.createDataFrame(rows, "topic_index bigint, name string, target string")
+    columns = {
+        "topic_index": list(range(len(topics))),
+        "name": [t.name for t in topics],
+        "target": [t.target for t in topics],
+    }
+    return local_table(
+        spark, columns, {"topic_index": "bigint", "name": "string", "target": "string"}
+    )
 
 
 # -- change feed ------------------------------------------------------------
@@ -148,6 +155,13 @@ def route_exchange(
     return messages.join(bindings.dropDuplicates([*keys, "queue"]), list(keys), "inner")
 
 
+def binding_table(spark, bindings: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Registered bindings as a frame ``(exchange, routing_key, queue)``."""
+    names = ("exchange", "routing_key", "queue")
+    columns = {n: [b[at] for b in bindings] for at, n in enumerate(names)}
+    return local_table(spark, columns, dict.fromkeys(names, "string"))
+
+
 # -- keys -------------------------------------------------------------------
 
 

@@ -63,6 +63,19 @@ def cut_lineage(df, label: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, columns: dict[str, list], kinds: dict[str, str]):
+    """A frame of driver-side configuration.
+
+    Arrow input becomes a local relation, so Spark knows its size and decides by
+    its own threshold whether to broadcast it.
+    """
+    import pyarrow as pa
+
+    arrow = {"string": pa.string(), "bigint": pa.int64()}
+    data = {n: pa.array(values, arrow[kinds[n]]) for n, values in columns.items()}
+    return spark.createDataFrame(pa.table(data))
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """``(file system, path)`` handles of Hadoop for driver-side metadata calls."""
     jvm = spark.sparkContext._jvm

@@ -10,12 +10,14 @@ import bz2
 import hashlib
 import os
 import re
+import sys
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import or_
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -348,3 +350,7 @@ def publish_dataset(df: DataFrame, dest: str, file_format: str = "parquet", **op
         raise TransferError(f"already there: {dest}")
     if not fs.rename(source, target):
         raise TransferError(f"cannot publish {dest}")
+
+
+# Executors need no copy of this package: its task functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

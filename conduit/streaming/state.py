@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -90,3 +92,7 @@ def live_values(states: DataFrame, as_of) -> DataFrame:
         F.explode(fields).alias("field", "value"),
         F.timestamp_micros("deadline").cast("timestamp_ntz").alias("expire_at"),
     )
+
+
+# Executors need no copy of this package: its task functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
