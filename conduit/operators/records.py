@@ -86,7 +86,9 @@ def binary_prefix(df: DataFrame, name: str, size: int) -> Column:
     column = F.col(f"`{name}`")
     return F.struct(
         F.substring(column, 1, size).alias("bytes"),
-        F.coalesce(F.least(F.lit(size), F.octet_length(column)), F.lit(0)).alias("copied"),
+        F.when(column.isNull(), 0)
+        .otherwise(F.least(F.lit(size), F.octet_length(column)))
+        .alias("copied"),
     )
 
 

@@ -13,7 +13,7 @@ from conduit.sources.snapshots import SnapshotTable
 
 
 def _tables(spark, folder):
-    """Listing of the table files."""
+    """Listing of the table files, be each a file or a folder of parts."""
     names = objects.NameFilter(r".*\.parquet(/.*)?")
     return objects.list_objects(spark, folder, names)
 

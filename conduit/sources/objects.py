@@ -10,11 +10,11 @@ import bz2
 import hashlib
 import os
 import re
+import stat
 import sys
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import or_
-from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from conduit.functions.network import full_match
 from conduit.plans.segments import segment_count
-from conduit.session import cut_lineage, hadoop_path, scratch_path
+from conduit.session import cut_lineage, hadoop_path, local_table, scratch_path
 
 BUFFER = 2 * 1024 * 1024
 RANGE_BYTES = 128 * 1024 * 1024
@@ -60,32 +60,96 @@ class NameFilter:
         return reduce(or_, [full_match(name, p) for p in self.patterns])
 
 
+_ENTRY = "path string, name string, size bigint, flag string, protocol string, us bigint"
+
+# Entry kinds by the test on a file mode that tells them.
+_FLAGS = (
+    ("LINK", stat.S_ISLNK),
+    ("DIR", stat.S_ISDIR),
+    ("FILE", stat.S_ISREG),
+    ("CHAR", stat.S_ISCHR),
+    ("BLOCK", stat.S_ISBLK),
+    ("FIFO", stat.S_ISFIFO),
+    ("SOCKET", stat.S_ISSOCK),
+)
+
+
+def _mounted_entries(path: str) -> Iterator[tuple]:
+    with os.scandir(_local(path)) as found:
+        for entry in found:
+            seen = entry.stat(follow_symlinks=False)
+            flag = next((f for f, test in _FLAGS if test(seen.st_mode)), "UNKNOWN")
+            yield entry.name, seen.st_size, flag, seen.st_mtime_ns // 1000
+
+
+def _stored_entries(path: str) -> Iterator[tuple]:
+    from pyarrow import fs
+
+    store, inner = _store_of(path)
+    for info in store.get_file_info(fs.FileSelector(inner)):
+        flag = "DIR" if info.type == fs.FileType.Directory else "FILE"
+        when = int(info.mtime.timestamp() * 1_000_000) if info.mtime else None
+        yield info.base_name, info.size or 0, flag, when
+
+
+def _list_directories(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Entries of each directory; directories have no size."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            scheme = _scheme_of(row.path)
+            entries = _mounted_entries if scheme == "file" else _stored_entries
+            base, prefix = row.path.rstrip("/"), f"{row.name}/" if row.name else ""
+            for names in _grouped(entries(row.path), 4096):
+                yield pd.DataFrame(
+                    {
+                        "path": [f"{base}/{n}" for n, *_ in names],
+                        "name": [f"{prefix}{n}" for n, *_ in names],
+                        "size": [0 if f == "DIR" else s for _, s, f, _ in names],
+                        "flag": [f for _, _, f, _ in names],
+                        "protocol": scheme.upper(),
+                        "us": pd.array([m for *_, m in names], dtype="Int64"),
+                    }
+                )
+
+
+def _grouped(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
+    group: list[tuple] = []
+    for row in rows:
+        group.append(row)
+        if len(group) == size:
+            yield group
+            group = []
+    if group:
+        yield group
+
+
 def list_objects(
     spark: SparkSession, root: str, names: NameFilter | None = None, recursive: bool = True
 ) -> DataFrame:
-    """``(path, name, size, flag, protocol, modified)`` of every object below a root.
+    """``(path, name, size, flag, protocol, modified)`` of the entries below a root.
 
-    Contents are not read: the scan keeps its metadata columns only. ``name`` is
-    relative to the root.
+    One level of directories is listed per step, each directory by one task, so
+    no machine holds the whole tree; empty and hidden objects are included.
+    ``name`` is relative to the root. A recursive listing has no directories, a
+    flat one shows them.
     """
     fs, handle = hadoop_path(spark, root)
-    base = handle.makeQualified(fs.getUri(), fs.getWorkingDirectory())
-    prefix = base.toString().rstrip("/") + "/"
-    scheme = base.toUri().getScheme() or "file"
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(root)
-    )
-    name = F.regexp_replace("path", "\\A" + re.escape(prefix).replace("/", "/+"), "")
-    listing = found.select(
-        "path",
-        name.alias("name"),
-        F.col("length").alias("size"),
-        F.lit("FILE").alias("flag"),
-        F.lit(scheme.upper()).alias("protocol"),
-        F.col("modificationTime").alias("modified"),
+    start = handle.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    level = local_table(
+        spark, {"path": [start], "name": [""]}, {"path": "string", "name": "string"}
     )
+    levels = []
+    while True:
+        found = cut_lineage(level.mapInPandas(_list_directories, _ENTRY), "listing")
+        levels.append(found)
+        inner = found.filter(F.col("flag") == "DIR").select("path", "name")
+        if not recursive or inner.isEmpty():
+            break
+        level = inner.repartition(segment_count(inner), "path")
+    listing = reduce(DataFrame.unionByName, levels)
+    listing = listing.withColumn("modified", F.timestamp_micros("us")).drop("us")
+    if recursive:
+        listing = listing.filter(F.col("flag") != "DIR")
     return listing.filter(names.matches(F.col("name"))) if names else listing
 
 
@@ -110,11 +174,43 @@ def byte_ranges(listing: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
     return cut.repartition(segment_count(listing), "path", "offset")
 
 
-def _open_input(path: str):
+# Object stores by the name their client here knows.
+_STORES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _local(path: str) -> str:
+    """A mounted path without its scheme; listing paths are not percent-encoded."""
+    if _scheme_of(path) != "file":
+        raise TransferError(f"not a mounted path: {path}")
+    return re.sub(r"\Afile:/*", "/", path)
+
+
+def _scheme_of(path: str) -> str:
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", path)
+    return scheme[1].lower() if scheme else "file"
+
+
+def _store_of(path: str):
+    """Client and inner path of an object that is not on a mount."""
     from pyarrow import fs
 
-    source, inner = fs.FileSystem.from_uri(path)
-    return source.open_input_file(inner)
+    scheme, _, rest = path.partition("://")
+    authority, _, key = rest.partition("/")
+    store, base = fs.FileSystem.from_uri(f"{_STORES.get(scheme, scheme)}://{authority}")
+    return store, f"{base.rstrip('/')}/{key}"
+
+
+def _open_input(path: str):
+    if _scheme_of(path) == "file":
+        return open(_local(path), "rb", buffering=0)
+    store, inner = _store_of(path)
+    return store.open_input_file(inner)
+
+
+def read_objects(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, content)`` of objects small enough to be one value each."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return found.select("path", "content")
 
 
 def _pieces(handle, length: int) -> Iterator[bytes]:
@@ -166,13 +262,6 @@ def digest_objects(listing: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
 # -- copying ----------------------------------------------------------------------
 
 
-def _local(path: str) -> str:
-    parsed = urlparse(path)
-    if parsed.scheme not in ("", "file"):
-        raise TransferError(f"not a mounted path: {path}")
-    return unquote(parsed.path) if parsed.scheme else path
-
-
 def _write_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Copy ranges to their place in the target; repeating one changes nothing."""
     for batch in batches:

@@ -43,9 +43,15 @@ def subscribe(spark: SparkSession, spec: TopicSpec, source_format: str = "kafka"
 
 def decode_json(records: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Typed rows of JSON records; a record that does not decode is skipped."""
-    parsed = F.from_json(F.col(value).cast("string"), schema)
-    rows = records.withColumn("_row", parsed).filter(F.col("_row").isNotNull())
-    return rows.select("_row.*")
+    corrupt = "_corrupt"
+    parsed = F.from_json(
+        F.col(value).cast("string"),
+        T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]),
+        {"columnNameOfCorruptRecord": corrupt},
+    )
+    rows = records.withColumn("_row", parsed)
+    good = F.col("_row").isNotNull() & F.col(f"_row.{corrupt}").isNull()
+    return rows.filter(good).select(*[f"_row.`{name}`" for name in schema.names])
 
 
 def replay(
