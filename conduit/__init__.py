@@ -1,5 +1,5 @@
 """conduit: moving, shaping and watching data with plain Spark DataFrames."""
 
-from conduit.session import shared_folder, tune
+from conduit.session import release_scratch, shared_folder, tune
 
-__all__ = ["shared_folder", "tune"]
+__all__ = ["release_scratch", "shared_folder", "tune"]

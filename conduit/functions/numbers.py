@@ -18,7 +18,7 @@ def parse_integer(text: Column, bits: int = 64, signed: bool = True) -> Column:
     high = 2 ** (bits - (1 if signed else 0)) - 1
     kind = "bigint" if signed or bits < 64 else "decimal(20,0)"
     number = F.regexp_extract(text, r"\A-?[0-9]+" if signed else r"\A[0-9]+", 0)
-    wide = number.try_cast("decimal(38,0)")
+    wide = F.when(number != "", number).try_cast("decimal(38,0)")
     fits = wide.between(
         F.lit(str(low)).cast("decimal(38,0)"), F.lit(str(high)).cast("decimal(38,0)")
     )

@@ -71,9 +71,11 @@ def add_to_fields(
     )
 
 
-def increment(df: DataFrame, keys: Sequence[str], by: Column, name: str = "value") -> DataFrame:
-    """Counter per key: the sum of its increments."""
-    return df.groupBy(*keys).agg(F.sum(by).alias(name))
+def increment(df: DataFrame, keys: Sequence[str], **by) -> DataFrame:
+    """Counters per key: each named one is the sum of its increments."""
+    sums = [F.sum(amount if isinstance(amount, Column) else F.lit(amount)).alias(name)
+            for name, amount in by.items()]
+    return df.groupBy(*keys).agg(*sums)
 
 
 def running_increment(

@@ -15,33 +15,47 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 _MONTH = "(?i:" + "|".join(MONTHS) + ")"
 
-# Each pattern covers the whole line and is paired with its number of groups.
+# Each pattern covers a whole line. Its groups are laid out in one common order, so
+# the columns are computed once and not per family; the name comes last.
+_PARTS = ("form", "mark", "size", "year", "month", "day", "hour", "minute", "half", "name")
 
 # +facts,<tab>name
-FACTS = (r"(?s)\A\+([^\t]*)\t(.*)\z", 2)
+FACTS = (
+    r"(?s)\A\+([^\t]*)\t(.*)\z",
+    {"form": "facts", "mark": "$1", "name": "$2"},
+)
 
 # perm nlink [uid] ... size month day time-or-year name; the token before the
 # first month name is the size, and that choice is final (atomic group)
 UNIX = (
-    r"(?s)\A(?>([bcdlps-])([^ ]?)[^ ]* +(?:f[^ ]{5} +|[^ ]+ +[^ ]+ +)"
+    r"(?s)\A(?>([bcdlps-][^ ]?)[^ ]* +(?:f[^ ]{5} +|[^ ]+ +[^ ]+ +)"
     rf"(?:([^ ]+) +)+?({_MONTH}) +)([0-9]+) +"
     r"(?:([0-9]{1,2}):([0-9]{2})|([0-9]{4,})) (.*)\z",
-    9,
-)
+    {
+        "form": "unix", "mark": "$1", "size": "$2", "year": "$7", "month": "$3", "day": "$4",
+        "hour": "$5", "minute": "$6", "name": "$8",
+    },
+)
 
 # name;version blocks day-month-year hour:minute
 VERSIONED = (
     r"(?s)\A([^;]*);[^ ]* +[^ ]+ +"
     rf"([0-9]*)-+({_MONTH})-+([0-9]+) +([0-9]+):+([0-9]+)[: ].*\z",
-    6,
-)
+    {
+        "form": "versioned", "year": "$4", "month": "$3", "day": "$2",
+        "hour": "$5", "minute": "$6", "name": "$1",
+    },
+)
 
 # month-day-year hour:minute AM|PM <DIR>|size name
 DOS = (
     r"(?s)\A([0-9]+)-+([0-9]+)-+([0-9]+) +([0-9]+):+([0-9]+)([AP])M? *"
     r"(?:(<)[^ ]*|([0-9]+)) +([^ ].*)\z",
-    9,
-)
+    {
+        "form": "dos", "mark": "$7", "size": "$8", "year": "$3", "month": "$1", "day": "$2",
+        "hour": "$4", "minute": "$5", "half": "$6", "name": "$9",
+    },
+)
 
 _MARK = "\x01"
 
@@ -49,26 +63,28 @@ _DAY = 86400
 _GUESS_DAYS = 350  # a date without a year is less than this far in the past
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _laid_out(line: Column, family: tuple[str, dict[str, str]]) -> Column:
+    """Array of the common parts of a matching line, from one pass; else NULL."""
+    pattern, groups = family
+    layout = _MARK.join(groups.get(part, "") for part in _PARTS)
+    parts = F.split(F.regexp_replace(line, pattern, layout), _MARK, len(_PARTS))
+    return F.when(line.rlike(pattern), parts)
 
 
-def _match(line: Column, form: tuple[str, int], body) -> Column:
-    """``body(groups)`` of a matching line, else NULL; the groups come from one pass."""
-    pattern, count = form
-    marked = F.regexp_replace(
-        line, pattern, _MARK.join(f"${group}" for group in range(1, count + 1))
+def _recognised(line: Column) -> Column:
+    """Parts of a line by its family, NULL when it is no entry."""
+    head = F.substring(line, 1, 1)
+    return F.when(F.length(line) < 2, None).otherwise(
+        F.when(head == "+", _laid_out(line, FACTS))
+        .when(head.isin("b", "c", "d", "l", "p", "s", "-"), _laid_out(line, UNIX))
+        .when(line.contains(";"), _laid_out(line, VERSIONED))
+        .otherwise(_laid_out(line, DOS))
     )
-    return F.when(line.rlike(pattern), _bind(F.split(marked, _MARK, count), body))
 
 
 def _number(text: Column) -> Column:
-    return text.try_cast("bigint")
-
-
-def _month(name: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(name))
+    # a failing cast costs an exception per row, so only digits reach it
+    return F.when(text.rlike(r"\A[0-9]{1,18}\z"), text.cast("bigint"))
 
 
 def _day_seconds(year: Column, month: Column, day: Column) -> Column:
@@ -80,127 +96,93 @@ def _day_seconds(year: Column, month: Column, day: Column) -> Column:
     return (days + day - 1).cast("bigint") * _DAY
 
 
-def _guessed_seconds(month: Column, day: Column, as_of: Column) -> Column:
+def _guessed_year(month: Column, day: Column, as_of: Column) -> Column:
     """The first year, from last year on, that is not too long ago."""
-    now = F.unix_timestamp(as_of)
-    candidates = [_day_seconds(F.year(as_of) + shift, month, day) for shift in (-1, 0, 1)]
-    return F.coalesce(*[F.when(now - c < _GUESS_DAYS * _DAY, c) for c in candidates])
-
-
-def _entry(name, size, mtime, kind, is_dir, is_file, ident) -> Column:
-    values = {
-        "name": name,
-        "size": size,
-        "mtime": mtime,
-        "mtime_kind": kind,
-        "is_dir": is_dir,
-        "is_file": is_file,
-        "id": ident,
-    }
-    return F.struct(*[v.alias(k) for k, v in values.items()])
-
-
-def _nothing(kind: str) -> Column:
-    return F.lit(None).cast(kind)
-
-
-def _facts_entry(groups: Column) -> Column:
-    # only facts closed by a comma count
-    facts = F.concat(F.lit(","), F.regexp_extract(groups[0], r"(?s)\A.*,", 0))
-    fact = lambda pattern: F.nullif(F.regexp_extract(facts, pattern, 1), F.lit(""))
-    return _entry(
-        groups[1],
-        _number(fact(r"(?s)\A.*,s([0-9]+),")),
-        _number(fact(r"(?s)\A.*,m([0-9]+),")),
-        F.when(facts.rlike(",m[0-9]+,"), "local"),
-        facts.contains(",/"),
-        facts.contains(",r"),
-        fact(r"(?s)\A.*,i([^,]*),"),
-    )
-
-
-def _unix_entry(groups: Column, as_of: Column) -> Column:
-    kind, rest = groups[0], groups[8]
-    name = F.when(kind == "l", F.regexp_replace(rest, r"(?s) -> .*\z", "")).otherwise(rest)
-    # one server indents names by three blanks
-    indented = groups[1].isin("", "[") & name.rlike(r"\A {3}.")
-    name = F.when(indented, F.substr(name, F.lit(4))).otherwise(name)
-    month, day, year = _month(groups[3]), _number(groups[4]), _number(groups[7])
-    clock = _number(groups[5]) * 3600 + _number(groups[6]) * 60
-    mtime = F.when(year.isNotNull(), _day_seconds(year, month, day)).otherwise(
-        _guessed_seconds(month, day, as_of) + clock
-    )
-    return _entry(
-        name,
-        _number(groups[2]),
-        mtime,
-        F.when(year.isNotNull(), "day").otherwise("minute"),
-        kind.isin("d", "l"),
-        kind.isin("-", "l"),
-        _nothing("string"),
-    )
+    oldest = F.unix_timestamp(as_of) - _GUESS_DAYS * _DAY
+    this = F.year(as_of)
+    fits = [_day_seconds(this + shift, month, day) > oldest for shift in (-1, 0)]
+    return F.when(fits[0], this - 1).when(fits[1], this).otherwise(this + 1)
 
 
-def _versioned_entry(groups: Column) -> Column:
-    is_dir = groups[0].rlike(r"(?s).\.DIR\z")
-    day = F.coalesce(_number(groups[1]), F.lit(0))
-    mtime = (
-        _day_seconds(_number(groups[3]), _month(groups[2]), day)
-        + _number(groups[4]) * 3600
-        + _number(groups[5]) * 60
-    )
-    return _entry(
-        F.when(is_dir, F.regexp_replace(groups[0], r"\.DIR\z", "")).otherwise(groups[0]),
-        _nothing("bigint"),
-        mtime,
-        F.lit("minute"),
-        is_dir,
-        ~is_dir,
-        _nothing("string"),
-    )
+def _year(shown: Column, two_digits: Column) -> Column:
+    century = F.when(shown < 50, shown + 2000).otherwise(shown)
+    widened = F.when(century < 1000, century + 1900).otherwise(century)
+    return F.when(two_digits, widened).otherwise(shown)
 
 
-def _dos_entry(groups: Column) -> Column:
-    short = _number(groups[2])
-    century = F.when(short < 50, short + 2000).otherwise(short)
-    year = F.when(century < 1000, century + 1900).otherwise(century)
-    hour = _number(groups[3]) % 12 + F.when(groups[5] == "P", 12).otherwise(0)
-    mtime = (
-        _day_seconds(year, _number(groups[0]), _number(groups[1]))
-        + hour * 3600
-        + _number(groups[4]) * 60
-    )
-    is_dir = groups[6] != ""
-    return _entry(
-        groups[8],
-        _number(groups[7]),
-        mtime,
-        F.lit("minute"),
-        is_dir,
-        ~is_dir,
-        _nothing("string"),
-    )
+def _fact(facts: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(facts, pattern, 1), F.lit(""))
 
 
-def listing_entry(line: Column, as_of: Column) -> Column:
-    """Struct of one listing line, NULL when the line is no entry.
+def parse_listing(df: DataFrame, column: str, as_of: Column) -> DataFrame:
+    """Listing rows of the lines that are entries; the others drop.
 
     ``as_of`` dates lines without a year.
     """
-    head = F.substring(line, 1, 1)
-    unix = head.isin("b", "c", "d", "l", "p", "s", "-")
-    return (
-        F.when(F.length(line) < 2, None)
-        .when(head == "+", _match(line, FACTS, _facts_entry))
-        .when(unix, _match(line, UNIX, lambda groups: _unix_entry(groups, as_of)))
-        .when(line.contains(";"), _match(line, VERSIONED, _versioned_entry))
-        .otherwise(_match(line, DOS, _dos_entry))
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    # a generator, so the optimiser cannot repeat the match in every column
+    found = F.transform(F.array(F.col(f"`{column}`")), _recognised)
+    matched = df.select(*kept, F.explode(F.array_compact(found)).alias("_p"))
+    part = {name: F.col("_p")[at] for at, name in enumerate(_PARTS)}
+    form, mark = part["form"], part["mark"]
+    months = F.array(*[F.lit(m) for m in MONTHS])
+    hour = F.coalesce(_number(part["hour"]), F.lit(0))
+    staged = matched.select(
+        *kept,
+        form.alias("_form"),
+        mark.alias("_mark"),
+        part["name"].alias("_name"),
+        _number(part["size"]).alias("_size"),
+        _year(_number(part["year"]), form == "dos").alias("_year"),
+        F.coalesce(
+            _number(part["month"]), F.array_position(months, F.lower(part["month"]))
+        ).alias("_month"),
+        F.coalesce(_number(part["day"]), F.lit(0)).alias("_day"),
+        (
+            F.when(part["half"] == "", hour)
+            .when(part["half"] == "P", hour % 12 + 12)
+            .otherwise(hour % 12)
+            * 3600
+            + F.coalesce(_number(part["minute"]), F.lit(0)) * 60
+        ).alias("_clock"),
+        # only facts closed by a comma count
+        F.when(
+            form == "facts", F.concat(F.lit(","), F.regexp_extract(mark, r"(?s)\A.*,", 0))
+        ).alias("_facts"),
     )
-
-
-def parse_listing(df: DataFrame, column: str, as_of: Column) -> DataFrame:
-    """Listing rows of the lines that are entries; the others drop."""
-    entries = F.transform(F.array(F.col(column)), lambda line: listing_entry(line, as_of))
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns], F.inline(F.array_compact(entries))
+    c = {name: F.col(f"_{name}") for name in ("name", "size", "year", "month", "day", "facts")}
+    facts, unix, versioned = (F.col("_form") == f for f in ("facts", "unix", "versioned"))
+    kind = F.substring("_mark", 1, 1)
+    year = F.coalesce(c["year"], _guessed_year(c["month"], c["day"], as_of))
+    folder = c["name"].rlike(r"(?s).\.DIR\z")
+    name = F.when(unix & (kind == "l"), F.regexp_replace("_name", r"(?s) -> .*\z", ""))
+    name = name.when(versioned & folder, F.regexp_replace("_name", r"\.DIR\z", ""))
+    # one server indents names by three blanks
+    indented = unix & F.col("_mark").rlike(r"\A.\[?\z")
+    name = name.when(indented & c["name"].rlike(r"\A {3}."), F.substr("_name", F.lit(4)))
+    is_dir = (
+        F.when(facts, c["facts"].contains(",/"))
+        .when(unix, kind.isin("d", "l"))
+        .when(versioned, folder)
+        .otherwise(F.col("_mark") == "<")
+    )
+    return staged.select(
+        *kept,
+        name.otherwise(c["name"]).alias("name"),
+        F.when(facts, _number(_fact(c["facts"], r"(?s)\A.*,s([0-9]+),")))
+        .otherwise(c["size"])
+        .alias("size"),
+        F.when(facts, _number(_fact(c["facts"], r"(?s)\A.*,m([0-9]+),")))
+        .otherwise(_day_seconds(year, c["month"], c["day"]) + F.col("_clock"))
+        .alias("mtime"),
+        F.when(facts, F.when(c["facts"].rlike(",m[0-9]+,"), "local"))
+        .when(unix & c["year"].isNotNull(), "day")
+        .otherwise("minute")
+        .alias("mtime_kind"),
+        is_dir.alias("is_dir"),
+        F.when(facts, c["facts"].contains(",r"))
+        .when(unix, kind.isin("-", "l"))
+        .otherwise(~is_dir)
+        .alias("is_file"),
+        F.when(facts, _fact(c["facts"], r"(?s)\A.*,i([^,]*),")).alias("id"),
     )

@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conduit.plans.segments import ORD, SEG, ordered_segments, running
+from conduit.session import cut_lineage
 
-OPERATIONS = ("hset", "hincrby", "expire", "del")
+# ``expireat`` is an ``expire`` with its deadline in microseconds since 1970.
+OPERATIONS = ("hset", "hincrby", "expire", "expireat", "del")
 
 
 def fold_log(
@@ -46,11 +48,11 @@ def fold_log(
 def _key_fates(segments: DataFrame, keys: list[str], now) -> DataFrame:
     """Per key with controls: what its last deaths cut away, and its deadline."""
     is_write = F.col("op").isin("hset", "hincrby")
-    kills = (F.col("op") == "del") | ((F.col("op") == "expire") & (F.col("amount") <= 0))
-    deadline = F.when(
-        (F.col("op") == "expire") & (F.col("amount") > 0),
-        F.col("us") + F.col("amount") * F.lit(1000000),
+    ends_at = F.when(F.col("op") == "expireat", F.col("amount")).when(
+        F.col("op") == "expire", F.col("us") + F.col("amount") * F.lit(1000000)
     )
+    kills = (F.col("op") == "del") | F.coalesce(ends_at <= F.col("us"), F.lit(False))
+    deadline = F.when(~kills, ends_at)
     seen = running(
         segments.withColumns({"deadline": deadline, "kills": kills}),
         keys,
@@ -60,6 +62,9 @@ def _key_fates(segments: DataFrame, keys: list[str], now) -> DataFrame:
         },
         inclusive=False,
     ).filter(~is_write)
+    # each pass reads its input twice, so the controls are written between passes
+    seen = seen.select(*keys, SEG, ORD, "us", "kills", "deadline", "write", "before")
+    seen = cut_lineage(seen, "controls")
 
     first = F.col("before").isNull()
     born = F.col("write").isNotNull() & (first | (F.col(f"write.{ORD}") > F.col(f"before.{ORD}")))
@@ -77,7 +82,10 @@ def _key_fates(segments: DataFrame, keys: list[str], now) -> DataFrame:
     steps = steps.withColumn("constant", constant).withColumn(
         "flip", F.col("constant").isNull() & F.col("if_dead")
     )
-    steps = running(steps, keys, {"flips": (F.sum, F.col("flip").cast("bigint"))})
+    steps = steps.drop("write")
+    steps = cut_lineage(
+        running(steps, keys, {"flips": (F.sum, F.col("flip").cast("bigint"))}), "flips"
+    )
     steps = running(
         steps,
         keys,

@@ -312,15 +312,13 @@ def agg04_running_counter(spark, folder):
 """)
 def agg05_scalar_counter(spark, folder):
     events = table(spark, folder, "events").select("user_id", amount().alias("k"))
-    total = counters.increment(events, ["user_id"], F.col("k"), "total")
-    hits = counters.increment(events, ["user_id"], F.lit(1), "events")
-    return total.join(hits, "user_id")
+    return counters.increment(events, ["user_id"], total=F.col("k"), events=1)
 
 
 @query("SELECT user_id, event_type AS field, count(*) AS value FROM events GROUP BY 1, 2")
 def agg06_whole_hash(spark, folder):
     events = table(spark, folder, "events").withColumnRenamed("event_type", "field")
-    values = counters.increment(events, ["user_id", "field"], F.lit(1))
+    values = counters.increment(events, ["user_id", "field"], value=1)
     maps = counters.hash_maps(values, "user_id", list(KIND_OF))
     return maps.select("user_id", F.explode("fields").alias("field", "value"))
 

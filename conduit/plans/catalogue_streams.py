@@ -156,11 +156,25 @@ def stm09_live_statistics(spark, folder):
     return runs.latest(runs.materialise(live, "statistics", "update"), ["user_id"])
 
 
-@query(EXPIRING_FOLD_SQL.replace("SELECT key, field, CAST(sum", "SELECT CAST(key AS VARCHAR) AS key, field, CAST(sum"))
-def stm10_live_hashes(spark, folder):
+def _operations(spark, folder):
     ops = operation_log(spark, folder, expiring=True, events=_events(spark, folder))
     ops = ops.filter(F.col("ts") <= F.lit(LOG_AS_OF).cast("timestamp"))
-    ops = ops.withColumn("key", F.col("key").cast("string"))
+    return ops.withColumn("key", F.col("key").cast("string"))
+
+
+_HASHES_SQL = f"SELECT CAST(key AS VARCHAR) AS key, field, value, expire_at FROM ({EXPIRING_FOLD_SQL})"
+
+
+@query(_HASHES_SQL)
+def stm10_batch_folds(spark, folder):
+    path = scratch_path(spark, "folded")
+    runs.start(_operations(spark, folder), state.batch_folder(path)).awaitTermination()
+    return state.folded_values(spark, path, LOG_AS_OF)
+
+
+@query(_HASHES_SQL)
+def stm10_live_hashes(spark, folder):
+    ops = _operations(spark, folder)
     updates = runs.materialise(state.live_hashes(ops), "hashes", "update")
     return state.live_values(runs.latest(updates, ["key"]), LOG_AS_OF)
 

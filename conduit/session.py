@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a hot key is split even when that costs one more exchange downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles a method above 8000 bytes of byte code; for such a
+    # stage the operator-at-a-time code, cut into small methods, is faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -46,9 +49,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/conduit/{application}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/conduit/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to cut lineage.
+
+    Call it when no frame that came from here will be read again.
+    """
+    fs, root = hadoop_path(spark, scratch_root(spark))
+    fs.delete(root, True)
 
 
 def cut_lineage(df, label: str):

@@ -1,4 +1,10 @@
-"""Live hashes: the op-log fold with state kept between micro-batches."""
+"""Live hashes: the op-log fold with state kept between micro-batches.
+
+Two forms with equal results. :func:`live_hashes` keeps state in the state
+store and folds each key of a small, rate-limited micro-batch in one place.
+:func:`batch_folder` folds a micro-batch of any size as a distributed job, so a
+hot key is spread out, and rewrites the whole state for it.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from conduit.operators.counters import alive
+from conduit.operators.oplog import fold_log
+from conduit.session import hadoop_path
+
 _STATE = "fields string, deadline bigint, us bigint"
 _MICROS = 1_000_000
 
@@ -94,5 +104,76 @@ def live_values(states: DataFrame, as_of) -> DataFrame:
     )
 
 
+def batch_folder(path: str, ts: str = "ts", seq: str = "seq"):
+    """``foreachBatch`` function that folds each batch into the state below ``path``.
+
+    Operations of a batch are ordered by time; one that is older than an earlier
+    batch counts as arriving now. A repeated batch replaces its own result.
+    """
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ops = batch.select(
+            "key", F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(seq).alias("seq"),
+            "op", "field", F.col("amount").cast("bigint").alias("amount"),
+        )
+        newest = ops.agg(F.max("ts")).first()[0]
+        if newest is None:
+            return
+        before = _versions(spark, path, batch_id)
+        clock = newest
+        if before:
+            state = spark.read.parquet(f"{path}/batch={before[-1]}")
+            held = state.agg(F.max("clock")).first()[0]
+            if held is not None:
+                clock = max(clock, held)
+                ops = ops.withColumn("ts", F.greatest("ts", F.lit(held)))
+                ops = _as_operations(state).unionByName(ops)
+        folded = fold_log(ops, ["key"], clock).withColumn("clock", F.lit(clock))
+        folded.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return fold
+
+
+def _versions(spark, path: str, below: int | None = None) -> list[int]:
+    """Finished batches, oldest first."""
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        _, done = hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")
+        if fs.exists(done):
+            found.append(int(status.getPath().getName().removeprefix("batch=")))
+    return sorted(v for v in found if below is None or v < below)
+
+
+def _as_operations(state: DataFrame) -> DataFrame:
+    """Operations that rebuild a state: its values, then its deadlines."""
+    values = state.select(
+        "key", F.col("clock").alias("ts"), F.lit(-2).cast("bigint").alias("seq"),
+        F.lit("hset").alias("op"), "field", F.col("value").alias("amount"),
+    )
+    ends = F.unix_micros(F.max("expire_at").cast("timestamp"))
+    deadlines = (
+        state.filter(F.col("expire_at").isNotNull())
+        .groupBy("key")
+        .agg(F.max("clock").alias("ts"), ends.alias("amount"))
+    )
+    return values.unionByName(
+        deadlines.select(
+            "key", "ts", F.lit(-1).cast("bigint").alias("seq"), F.lit("expireat").alias("op"),
+            F.lit(None).cast("string").alias("field"), "amount",
+        )
+    )
+
+
+def folded_values(spark, path: str, as_of) -> DataFrame:
+    """``(key, field, value, expire_at)`` alive at a moment after the last batch."""
+    state = spark.read.parquet(f"{path}/batch={_versions(spark, path)[-1]}")
+    moment = F.lit(as_of).cast("timestamp_ntz")
+    return alive(state, moment).select("key", "field", "value", "expire_at")
+
+
 # Executors need no copy of this package: its task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

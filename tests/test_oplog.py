@@ -103,7 +103,11 @@ def test_stream_over_many_batches_equals_model(spark, tmp_path):
     ops = stream.withColumn("ts", stream["ts"].cast("timestamp"))
     updates = runs.materialise(state.live_hashes(ops), "hashes", "update")
     assert updates.select("batch").distinct().count() > 1
+    path = str(tmp_path / "folded")
+    runs.start(ops, state.batch_folder(path)).awaitTermination()
     as_of = log[-1][1]
+    folded = state.folded_values(spark, path, as_of)
+    assert sorted(tuple(r) for r in folded.collect()) == model(log, as_of)
     got = state.live_values(runs.latest(updates, ["key"]), as_of)
     rows = sorted(tuple(r) for r in got.select("key", "field", "value", "expire_at").collect())
     assert rows == model(log, as_of)
