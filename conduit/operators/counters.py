@@ -58,17 +58,21 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def add_to_fields(
     df: DataFrame, key: Column, fields: dict[str, Column], name: str = "key"
 ) -> DataFrame:
-    """Totals ``(key, field, value)`` of increments, one field per named amount."""
+    """Totals ``(key, field, value)`` of increments, one field per named amount.
+
+    A field whose amounts are all NULL was never touched and has no row.
+    """
+    totals = df.groupBy(key.alias(name)).agg(
+        *[F.sum(amount.cast("double")).alias(f"_{at}") for at, amount in enumerate(fields.values())]
+    )
+    # one row per key so far; only now is it spread to one per field
     pairs = F.array(
         *[
-            F.struct(F.lit(f).alias("field"), amount.cast("double").alias("amount"))
-            for f, amount in fields.items()
+            F.struct(F.lit(field).alias("field"), F.col(f"_{at}").alias("value"))
+            for at, field in enumerate(fields)
         ]
     )
-    lines = df.select(key.alias(name), F.explode(pairs).alias("_p"))
-    return lines.groupBy(name, F.col("_p.field").alias("field")).agg(
-        F.sum("_p.amount").alias("value")
-    )
+    return totals.select(name, F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
 def increment(df: DataFrame, keys: Sequence[str], **by) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conduit.functions.dates import iso8601
 from conduit.functions.numbers import from_little_endian, to_little_endian
-from conduit.functions.patterns import ALREADY_CODES, C_SPACE, CELL_PREFIX, LOG_LEVELS
+from conduit.functions.patterns import ALREADY_CODES, CELL_PREFIX, LOG_LEVELS
 
 # -- lines --------------------------------------------------------------------
 
@@ -30,37 +30,49 @@ def frame_lines(df: DataFrame, column: str, longer_than: int = 0) -> DataFrame:
 
 # -- network-element responses --------------------------------------------------
 
-# The lines of a response, matched whole.
-_RETURN_CODE = rf"\ARETCODE = ([0-9]{{1,9}}){C_SPACE}+.*\z"
-_END = rf"\A---{C_SPACE}+END\z"
-_ERROR = r"\AERROR\z"
-_IMSI = rf"\A{C_SPACE}+IMSI{C_SPACE}+={C_SPACE}+([0-9]+)\z"
-_IMEI = rf"\A{C_SPACE}+IMEI{C_SPACE}+={C_SPACE}+([0-9]+)\z"
-_VLR = rf"\A{C_SPACE}+VLRNUM{C_SPACE}+={C_SPACE}+([0-9]+)\z"
+# The lines of a response, each matched whole. No line holds a line
+# end, so white space within one is any other white space.
+_GAP = r"[ \t\x0B\f]"
+_RETURN_CODE = rf"RETCODE = ([0-9]{{1,9}}){_GAP}+[^\n]*"
+_END = rf"---{_GAP}+END"
+_ERROR = r"ERROR"
+_IMSI = rf"{_GAP}+IMSI{_GAP}+={_GAP}+([0-9]+)"
+_IMEI = rf"{_GAP}+IMEI{_GAP}+={_GAP}+([0-9]+)"
+_VLR = rf"{_GAP}+VLRNUM{_GAP}+={_GAP}+([0-9]+)"
 _CELL = (
-    rf"\A{C_SPACE}+Cell{C_SPACE}Identity{C_SPACE}+={C_SPACE}+{CELL_PREFIX}"
-    r"([a-zA-Z0-9]{4}[a-zA-Z0-9]{4})\z"
+    rf"{_GAP}+Cell{_GAP}Identity{_GAP}+={_GAP}+{CELL_PREFIX}([a-zA-Z0-9]{{4}}[a-zA-Z0-9]{{4}})"
 )
 _ACTION = (
-    rf"\A.*action{C_SPACE}+={C_SPACE}+"
-    rf"([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{C_SPACE}[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}).*\z"
+    rf"[^\n]*action{_GAP}+={_GAP}+"
+    rf"([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{_GAP}[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}})[^\n]*"
 )
 
 PENDING, FAILED, TIMED_OUT = -1, -2, -3
 
 
 def _last(lines: Column, pattern: str) -> Column:
-    """The capture of the last line that matches, or NULL."""
-    hits = F.filter(lines, lambda line: line.rlike(pattern))
-    return F.regexp_extract(F.try_element_at(hits, F.lit(-1)), pattern, 1)
+    """The capture of the last line that matches, or ""; lines end in a newline."""
+    return F.regexp_extract(lines, rf"(?s)\A(?:.*\n)?{pattern}\n", 1)
+
+
+def _bound(value: Column, body) -> Column:
+    """One-element array of ``body(value)``, the value computed once."""
+    return F.transform(F.array(value), body)
 
 
 def response_lines(text: Column) -> Column:
-    """Lines longer than one character, up to the end mark or error."""
-    lines = F.filter(split_lines(text), lambda line: F.length(line) > 1)
-    closes = F.transform(lines, lambda line: line.rlike(_END) | line.rlike(_ERROR))
-    stop = F.array_position(closes, True)
-    return F.when(stop > 0, F.slice(lines, F.lit(1), stop.cast("int"))).otherwise(lines)
+    """One-element array: the lines longer than one character, up to the end mark or error."""
+
+    def cut(lines: Column) -> Column:
+        closing = rf"\A(?:{_END}|{_ERROR})\z"
+        closes = F.transform(lines, lambda line: line.rlike(closing))
+        stop = _bound(
+            F.array_position(closes, True).cast("int"),
+            lambda at: F.slice(lines, F.lit(1), F.when(at > 0, at).otherwise(F.size(lines))),
+        )
+        return stop[0]
+
+    return _bound(F.filter(split_lines(text), lambda line: F.length(line) > 1), cut)
 
 
 def parse_responses(df: DataFrame, column: str, timeout: bool = True) -> DataFrame:
@@ -69,27 +81,35 @@ def parse_responses(df: DataFrame, column: str, timeout: bool = True) -> DataFra
     ``retcode`` is the last return code, -2 after ``ERROR``; a response that
     never closes is -3 when calls had a ``timeout``, else what was read so far.
     """
-    staged = df.withColumn("_lines", response_lines(F.col(f"`{column}`")))
+    # a generator, so the optimiser cannot repeat the split in every column
+    staged = df.withColumn("_lines", F.explode(response_lines(F.col(f"`{column}`"))))
+    staged = staged.withColumn("_lines", F.concat(F.array_join("_lines", "\n"), F.lit("\n")))
     lines = F.col("_lines")
-    tail = F.try_element_at(lines, F.lit(-1))
-    code = F.coalesce(_last(lines, _RETURN_CODE).try_cast("int"), F.lit(PENDING))
-    closed = F.coalesce(tail.rlike(_END), F.lit(False))
-    open_code = F.lit(TIMED_OUT) if timeout else code
-    cell = _last(lines, _CELL)
-    return staged.select(
-        *[F.col(f"`{c}`") for c in df.columns if c != column],
-        F.when(F.coalesce(tail.rlike(_ERROR), F.lit(False)), F.lit(FAILED))
-        .when(closed, code)
-        .otherwise(open_code)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != column]
+    found = {
+        "code": _RETURN_CODE, "imsi": _IMSI, "imei": _IMEI, "vlr": _VLR, "cell": _CELL,
+        "action": _ACTION,
+    }
+    raw = staged.select(
+        *kept,
+        *[_last(lines, pattern).alias(f"_{name}") for name, pattern in found.items()],
+        lines.rlike(rf"(?:\A|\n){_ERROR}\n\z").alias("_failed"),
+        lines.rlike(rf"(?:\A|\n){_END}\n\z").alias("_closed"),
+    )
+    given = {name: F.nullif(F.col(f"_{name}"), F.lit("")) for name in found}
+    code = F.coalesce(given["code"].cast("int"), F.lit(PENDING))
+    return raw.select(
+        *kept,
+        F.when(F.col("_failed"), F.lit(FAILED))
+        .when(F.col("_closed"), code)
+        .otherwise(F.lit(TIMED_OUT) if timeout else code)
         .alias("retcode"),
-        _last(lines, _IMSI).alias("imsi"),
-        _last(lines, _IMEI).alias("imei"),
-        _last(lines, _VLR).alias("vlr"),
+        *[given[name].alias(name) for name in ("imsi", "imei", "vlr")],
         F.to_timestamp_ntz(
-            F.regexp_replace(_last(lines, _ACTION), C_SPACE, " "), F.lit("yyyy-MM-dd HH:mm:ss")
+            F.regexp_replace(given["action"], _GAP, " "), F.lit("yyyy-MM-dd HH:mm:ss")
         ).alias("lastactive"),
-        F.conv(F.substring(cell, 1, 4), 16, 10).cast("int").alias("lac"),
-        F.conv(F.substring(cell, 5, 4), 16, 10).cast("int").alias("cell"),
+        F.conv(F.substring(given["cell"], 1, 4), 16, 10).cast("int").alias("lac"),
+        F.conv(F.substring(given["cell"], 5, 4), 16, 10).cast("int").alias("cell"),
     )
 
 

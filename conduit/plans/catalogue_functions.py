@@ -262,7 +262,7 @@ def num04_uniform(spark, folder):
     )
 
 
-@query('SELECT count(*) AS "rows", count(*) AS well_formed, 0 AS repeated FROM orders')
+@query('SELECT count(*) AS "rows", count(*) AS well_formed, CAST(0 AS BIGINT) AS repeated FROM orders')
 def num05_uuid(spark, folder):
     shape = "[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}"
     drawn = table(spark, folder, "orders").select(numbers.uuid().alias("u"), numbers.uuid().alias("v"))
@@ -594,7 +594,7 @@ _LEVEL_OF = {
 @query("""
     SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id AS pid,
            CASE event_type WHEN 'purchase' THEN 'WARNING' ELSE 'ERROR' END AS level,
-           CASE event_type WHEN 'purchase' THEN 4 ELSE 3 END AS rank,
+           CAST(CASE event_type WHEN 'purchase' THEN 4 ELSE 3 END AS BIGINT) AS rank,
            event_type || ' [' || props || ']' AS text
     FROM events WHERE event_type IN ('purchase', 'error')
 """)

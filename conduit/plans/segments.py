@@ -8,6 +8,7 @@ row per key and segment) are carried in.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
@@ -38,7 +39,12 @@ def ordered_segments(
     partitioner split a run of equal order values.
     """
     tie = "_tie"
-    keyed = df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    hashable = [
+        f.name
+        for f in df.schema.fields
+        if not re.search("map<|variant", f.dataType.simpleString())
+    ]
+    keyed = df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
     ranged = keyed.repartitionByRange(
         segments or segment_count(df), *[F.col(c) for c in order], F.col(tie)
     ).sortWithinPartitions(*order, tie)
