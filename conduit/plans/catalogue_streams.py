@@ -156,8 +156,9 @@ def stm09_live_statistics(spark, folder):
     return runs.latest(runs.materialise(live, "statistics", "update"), ["user_id"])
 
 
-def _operations(spark, folder):
-    ops = operation_log(spark, folder, expiring=True, events=_events(spark, folder))
+def _operations(spark, folder, files_per_trigger=None):
+    events = _events(spark, folder, files_per_trigger)
+    ops = operation_log(spark, folder, expiring=True, events=events)
     ops = ops.filter(F.col("ts") <= F.lit(LOG_AS_OF).cast("timestamp"))
     return ops.withColumn("key", F.col("key").cast("string"))
 
@@ -174,7 +175,8 @@ def stm10_batch_folds(spark, folder):
 
 @query(_HASHES_SQL)
 def stm10_live_hashes(spark, folder):
-    ops = _operations(spark, folder)
+    # each key of a micro-batch is folded in one place, so batches are kept small
+    ops = _operations(spark, folder, files_per_trigger=4)
     updates = runs.materialise(state.live_hashes(ops), "hashes", "update")
     return state.live_values(runs.latest(updates, ["key"]), LOG_AS_OF)
 

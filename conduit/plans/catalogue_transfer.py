@@ -70,14 +70,14 @@ def snk02_compressed_objects(spark, folder):
     source = _tables(spark, folder)
     packed = objects.copy_objects(source, scratch_path(spark, "packed"), "compress")
     listing = packed.select(
-        F.concat(F.lit("file:"), "dest").alias("path"),
+        F.col("dest").alias("path"),
         F.concat("name", F.lit(".bz2")).alias("name"),
         F.col("bytes").alias("size"),
     )
     opened = objects.copy_objects(listing, scratch_path(spark, "opened"), "decompress")
     after = objects.digest_objects(
         opened.select(
-            F.concat(F.lit("file:"), "dest").alias("path"),
+            F.col("dest").alias("path"),
             F.regexp_replace("name", r"\.bz2\z", "").alias("name"),
             F.col("bytes").alias("size"),
         )

@@ -12,7 +12,8 @@ import os
 import re
 import stat
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
@@ -27,6 +28,7 @@ from conduit.session import cut_lineage, hadoop_path, local_table, scratch_path
 
 BUFFER = 2 * 1024 * 1024
 RANGE_BYTES = 128 * 1024 * 1024
+_WHOLE = 2**62  # a range no object exceeds
 
 
 class TransferError(OSError):
@@ -262,27 +264,70 @@ def digest_objects(listing: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
 # -- copying ----------------------------------------------------------------------
 
 
+def _open_output(path: str):
+    if _scheme_of(path) == "file":
+        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+        return open(_local(path), "wb")
+    store, inner = _store_of(path)
+    return store.open_output_stream(inner, compression=None)  # not by its extension
+
+
+@contextmanager
+def _placed_writer(path: str, at: int):
+    """A function that writes on from an offset; other ranges stay as they are.
+
+    Object stores take no writes at an offset, so there a range is an object.
+    """
+    if _scheme_of(path) != "file":
+        with _open_output(path) as out:
+            yield out.write
+        return
+    os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+    out = os.open(_local(path), os.O_WRONLY | os.O_CREAT, 0o644)
+
+    def write(piece: bytes) -> None:
+        nonlocal at
+        view = memoryview(piece)
+        while view:
+            written = os.pwrite(out, view, at)
+            at += written
+            view = view[written:]
+
+    try:
+        yield write
+    finally:
+        os.close(out)
+
+
+def _size_of(path: str) -> int | None:
+    """Size of an object, None when there is none."""
+    if _scheme_of(path) == "file":
+        return os.path.getsize(_local(path)) if os.path.exists(_local(path)) else None
+    store, inner = _store_of(path)
+    return store.get_file_info(inner).size
+
+
+def _rename(path: str, target: str) -> None:
+    if _scheme_of(path) == "file":
+        os.makedirs(os.path.dirname(_local(target)), exist_ok=True)
+        os.replace(_local(path), _local(target))
+    else:
+        store, inner = _store_of(path)
+        store.move(inner, _store_of(target)[1])
+
+
 def _write_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Copy ranges to their place in the target; repeating one changes nothing."""
     for batch in batches:
         rows = []
         for row in batch.itertuples(index=False):
             digest = hashlib.md5()
-            os.makedirs(os.path.dirname(row.target), exist_ok=True)
-            out = os.open(row.target, os.O_WRONLY | os.O_CREAT, 0o644)
-            try:
-                at = row.target_offset
-                with _open_input(row.path) as handle:
-                    handle.seek(row.offset)
+            with _open_input(row.path) as handle:
+                handle.seek(row.offset)
+                with _placed_writer(row.target, row.target_offset) as write:
                     for piece in _pieces(handle, row.length):
                         digest.update(piece)
-                        view = memoryview(piece)
-                        while view:
-                            written = os.pwrite(out, view, at)
-                            at += written
-                            view = view[written:]
-            finally:
-                os.close(out)
+                        write(piece)
             rows.append((row.path, row.name, row.target_offset, row.length, digest.hexdigest()))
         yield pd.DataFrame(rows, columns=["path", "name", "offset", "length", "md5"])
 
@@ -292,9 +337,8 @@ def _compress_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for row in batch.itertuples(index=False):
-            os.makedirs(os.path.dirname(row.part), exist_ok=True)
             packer = bz2.BZ2Compressor()
-            with _open_input(row.path) as handle, open(row.part, "wb") as out:
+            with _open_input(row.path) as handle, _open_output(row.part) as out:
                 handle.seek(row.offset)
                 for piece in _pieces(handle, row.length):
                     out.write(packer.compress(piece))
@@ -308,10 +352,9 @@ def _decompress_objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
     for batch in batches:
         rows = []
         for row in batch.itertuples(index=False):
-            os.makedirs(os.path.dirname(row.target), exist_ok=True)
             digest, size = hashlib.md5(), 0
             with _open_input(row.path) as raw, bz2.open(raw, "rb") as handle:
-                with open(row.target, "wb") as out:
+                with _open_output(row.target) as out:
                     while piece := handle.read(BUFFER):
                         out.write(piece)
                         digest.update(piece)
@@ -324,13 +367,12 @@ def _publish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Move finished objects to their final names, if they are whole."""
     for batch in batches:
         for row in batch.itertuples(index=False):
-            if os.path.exists(row.staged):
-                size = os.path.getsize(row.staged)
+            size = _size_of(row.staged)
+            if size is not None:
                 if size != row.bytes:
                     raise TransferError(f"{row.name}: {size} bytes written, {row.bytes} expected")
-                os.makedirs(os.path.dirname(row.dest), exist_ok=True)
-                os.replace(row.staged, row.dest)
-            elif not os.path.exists(row.dest):
+                _rename(row.staged, row.dest)
+            elif _size_of(row.dest) != row.bytes:  # else an earlier try renamed it
                 raise TransferError(f"{row.name}: nothing was written")
         yield batch[["path", "name", "dest", "bytes", "md5"]]
 
@@ -341,13 +383,15 @@ def copy_objects(
     """Copy every object of a listing below ``dest``, byte for byte.
 
     ``codec`` is None, ``compress`` or ``decompress`` (bzip2). Objects are
-    written under staging names on a mount all executors share and get their
-    final names only when whole. Returns ``(path, name, dest, bytes, md5)``.
+    written under staging names and get their final ones only when whole. A
+    mount must be one all executors share. Returns
+    ``(path, name, dest, bytes, md5)``.
     """
     if codec not in (None, "compress", "decompress"):
         raise ValueError(f"unknown codec: {codec}")
     spark = listing.sparkSession
-    root = _local(dest).rstrip("/")
+    mounted = _scheme_of(dest) == "file"
+    root = (_local(dest) if mounted else dest).rstrip("/")
     staging = f"{root}/.staging-{os.path.basename(scratch_path(spark, 'copy'))}"
     final = {
         None: F.col("name"),
@@ -367,7 +411,7 @@ def copy_objects(
             _decompress_objects, _RANGE_DIGEST
         )
     else:
-        ranges = byte_ranges(placed, range_bytes)
+        ranges = byte_ranges(placed, range_bytes if mounted else _WHOLE)
         if codec == "compress":
             ranges = _compressed(ranges)
         else:
@@ -389,7 +433,7 @@ def copy_objects(
         ),
         "published",
     )
-    fs, leftover = hadoop_path(spark, f"file:{staging}")
+    fs, leftover = hadoop_path(spark, f"file:{staging}" if mounted else staging)
     fs.delete(leftover, True)
     return published
 
