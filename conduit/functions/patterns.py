@@ -4,7 +4,14 @@ Each must equal the published value for results to agree, so they are stated
 here as plain text.
 """
 
-# Patterns, matched against the whole text.
+# Patterns, matched against the whole text. A dot stands for any character. The
+# two of host names are what `network.is_hostname` decides in linear time; only
+# the SQL form of the query uses them as they stand.
+ADDRESS = r"(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)(.(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)){3}"
+HOST_NAME = (
+    r"(([a-zA-Z0-9]|[a-zA-Z0-9][a-zA-Z0-9-]*[a-zA-Z0-9]).)*"
+    r"([A-Za-z0-9]|[A-Za-z0-9][A-Za-z0-9-]*[A-Za-z0-9])"
+)
 USERNAME = r"[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)*"
 TNS_NAME = r"[a-zA-Z][a-zA-Z0-9_.-]{0,29}"
 CONSUMER_NAME = r"[A-Za-z0-9_.-]{1,128}"

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from conduit.operators.typing import check_binds
 
-# Fixed value: quoted text, or a placeholder that no word character precedes.
-PLACEHOLDER = r"'(?:[^']|'')*'|\B(:[a-zA-Z0-9_]+)"
-
-# the same language, without a step of recursion per quoted character
+# Fixed value: quoted text with doubled quotes inside, or a placeholder that no
+# word character precedes. Runs of plain characters are one step each, so long
+# quoted texts do not exhaust the stack of the matcher.
 _QUOTED = r"'[^']*(?:''[^']*)*'"
 _SCAN = rf"({_QUOTED})|\B(:[a-zA-Z0-9_]+)"
 _MARK = "\x01"

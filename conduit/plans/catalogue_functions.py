@@ -312,16 +312,14 @@ def dat04_epoch_millis(spark, folder):
 # -- validation and addresses ----------------------------------------------------------
 
 
-@query(r"""
-    SELECT page_id, name,
-           regexp_full_match(name, '(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)(.(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)){3}')
-           OR regexp_full_match(name, '(([a-zA-Z0-9]|[a-zA-Z0-9][a-zA-Z0-9-]*[a-zA-Z0-9]).)*([A-Za-z0-9]|[A-Za-z0-9][A-Za-z0-9-]*[A-Za-z0-9])')
-           AS valid
+@query(rf"""
+    SELECT page_id, name, regexp_full_match(name, '{patterns.ADDRESS}')
+           OR regexp_full_match(name, '{patterns.HOST_NAME}') AS valid
     FROM (SELECT page_id, CASE page_id % 6 WHEN 0 THEN host WHEN 1 THEN '-' || host
             WHEN 2 THEN host || '..x' WHEN 3 THEN '10.' || page_id % 300 || '.0.1'
             WHEN 4 THEN replace(host, '.', '_') ELSE replace(host, '.', '-.') END AS name
           FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?]*)', 1) AS host FROM pages))
-""")  # noqa: E501
+""")
 def net01_hostname(spark, folder):
     pages = table(spark, folder, "pages")
     host, variant = network.split_uri(F.col("url"))["host"], F.col("page_id") % 6

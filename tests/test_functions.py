@@ -4,11 +4,12 @@ import base64
 import hashlib
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from conduit.functions import dates, encoding, network, numbers, strings
+from conduit.functions import dates, encoding, network, numbers, patterns, strings
 from conduit.operators import dml
 
 
@@ -205,6 +206,15 @@ def test_split_uri(spark, uri, expected):
     assert tuple(values(spark, [uri], network.split_uri)[0]) == expected
 
 
+def test_hostname_rule_equals_the_patterns(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choice("a1-._ ") for _ in range(rng.randint(0, 8))) for _ in range(400)]
+    names += [".".join(str(rng.randint(0, 300)) for _ in range(4)) for _ in range(50)]
+    either = f"(?:{patterns.ADDRESS})|(?:{patterns.HOST_NAME})"
+    expected = [re.fullmatch(either, name, re.DOTALL) is not None for name in names]
+    assert values(spark, names, network.is_hostname) == expected
+
+
 def test_codes(spark):
     names = ["S3", "s3", "CONDUIT::PROTOCOL::HDFS", "CONDUIT::AUTHTYPE::NTLM", "", None]
     assert values(spark, names, network.protocol_code) == [4, -1, 6, -1, -1, None]
