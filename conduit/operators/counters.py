@@ -83,10 +83,18 @@ def increment(df: DataFrame, keys: Sequence[str], **by) -> DataFrame:
 
 
 def running_increment(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], by: Column, name: str = "value"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    by: Column,
+    name: str = "value",
+    total: bool = False,
 ) -> DataFrame:
-    """Every increment with the counter value after it, in order per key."""
-    segments = ordered_segments(df.withColumn("_by", by), [*keys, *order])
+    """Every increment with the counter value after it, in order per key.
+
+    ``total`` says that keys and order tell every row apart.
+    """
+    segments = ordered_segments(df.withColumn("_by", by), [*keys, *order], total)
     return running(segments, keys, {name: (F.sum, F.col("_by"))}).select(
         *[F.col(f"`{c}`") for c in df.columns], name
     )

@@ -40,7 +40,7 @@ def fold_log(
     slim = log.select(
         *keys, micros(F.col(ts)).alias("us"), F.col(seq).alias("seq"), "op", "field", "amount"
     ).filter(F.col("us") <= now)
-    segments = ordered_segments(slim, [*keys, "us", "seq"])
+    segments = ordered_segments(slim, [*keys, "us", "seq"], total=True)
     fates = _key_fates(segments, keys, now)
     return _fold_writes(segments, keys, fates)
 

@@ -302,7 +302,7 @@ def agg04_hash_counters(spark, folder):
 """)
 def agg04_running_counter(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type", "ts", "props")
-    after = counters.running_increment(events, ["event_type"], ["ts", "event_id"], amount())
+    after = counters.running_increment(events, ["event_type"], ["ts", "event_id"], amount(), total=True)
     return after.select("event_id", "value")
 
 

@@ -181,7 +181,7 @@ def rec11_source_tag(spark, folder):
 """)
 def rec12_pagination(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    pages = records.paginate(orders, ["o_orderdate", "o_orderkey"], 256)
+    pages = records.paginate(orders, ["o_orderdate", "o_orderkey"], 256, total=True)
     return pages.select("o_orderkey", "row_no", "batch_id")
 
 

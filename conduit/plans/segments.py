@@ -30,24 +30,23 @@ def segment_count(df: DataFrame) -> int:
 
 
 def ordered_segments(
-    df: DataFrame, order: Sequence[str], segments: int | None = None
+    df: DataFrame, order: Sequence[str], total: bool = False, segments: int | None = None
 ) -> DataFrame:
-    """Rows in total order with ``_seg`` (segment) and ``_ord`` (global order).
+    """Rows in order with ``_seg`` (segment) and ``_ord`` (global order).
 
     The result is written once, so segment numbers stay the same for every
-    later pass. A hash of the row breaks ties, which also lets the range
-    partitioner split a run of equal order values.
+    later pass. Unless the order is ``total`` (tells every row apart), a hash of
+    the row breaks ties; that lets a run of equal order values be split, but the
+    pass that samples the order then reads every column.
     """
-    tie = "_tie"
-    hashable = [
-        f.name
-        for f in df.schema.fields
-        if not re.search("map<|variant", f.dataType.simpleString())
-    ]
-    keyed = df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
-    ranged = keyed.repartitionByRange(
-        segments or segment_count(df), *[F.col(c) for c in order], F.col(tie)
-    ).sortWithinPartitions(*order, tie)
+    columns = [F.col(c) for c in order]
+    if not total:
+        columns.append(_row_hash(df))
+    placed = df.withColumns({f"_order{at}": c for at, c in enumerate(columns)})
+    keys = [f"_order{at}" for at in range(len(columns))]
+    ranged = placed.repartitionByRange(
+        segments or segment_count(df), *keys
+    ).sortWithinPartitions(*keys)
     position = F.monotonically_increasing_id()
     tagged = ranged.select(
         *[F.col(f"`{c}`") for c in df.columns],
@@ -57,6 +56,15 @@ def ordered_segments(
     return cut_lineage(tagged, "segments")
 
 
+def _row_hash(df: DataFrame) -> Column:
+    hashable = [
+        f.name
+        for f in df.schema.fields
+        if not re.search("map<|variant", f.dataType.simpleString())
+    ]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+
+
 def running(
     segments: DataFrame,
     keys: Sequence[str],
@@ -94,9 +102,11 @@ def running(
     ).filter(F.col(ORD) >= 0)
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Global 1-based row numbers along ``order``."""
-    segments = ordered_segments(df, order)
+def number_rows(
+    df: DataFrame, order: Sequence[str], name: str = "row_no", total: bool = False
+) -> DataFrame:
+    """Global 1-based row numbers along ``order``; see :func:`ordered_segments`."""
+    segments = ordered_segments(df, order, total)
     counts = segments.groupBy(SEG).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per segment: this window never sees more rows than the job has partitions.
     offsets = counts.select(
