@@ -4,21 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conduit.llm import recompress, simhash
+from conduit.llm import pii, recompress, simhash, toxicity
 from conduit.llm.common import table
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels that are not held out."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of all documents."""
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that a smaller doc_id's windows cover, removed."""
     return recompress.without_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_copies, op10_substring_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op3_toxicity, op4_simhash_near_copies, op6_personal_data, op10_substring_dedup)
+}
 
 ORACLES = {
     "op10_substring_dedup": r"""
