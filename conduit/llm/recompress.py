@@ -400,9 +400,50 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
-    """``(doc_id, tag, clean)`` of the documents that lose words; clean may be empty."""
+def without_repeated_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with those words cut out of their texts; a row that loses its last word goes.
+
+    Every other row stays as it is, also one that had no words to begin with.
+    """
+    ship(docs.sparkSession)
     digests, starts = repeated_windows(docs)
-    some = _changed(docs, starts).select(F.col("doc").alias("doc_id"), "tag", "clean")
-    whole = digests.where("copy").where(F.col("n_words") >= WINDOW).select("doc_id", "tag", F.lit("").alias("clean"))
-    return some.union(whole).distinct()
+    some = _changed(docs, starts).select("doc", "tag", "clean")
+    whole = digests.where("copy").where(F.col("n_words") >= WINDOW)
+    clean = some.union(whole.select("doc_id", "tag", F.lit("")))
+    clean = clean.groupBy("doc", "tag").agg(F.min("clean").alias("clean"))
+    clean = cut_lineage(clean, "clean")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_filter(clean, "doc"))
+    marked = "__tag"
+    while marked in docs.columns:
+        marked += "_"
+    place = docs.columns.index("text")
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 23))
+
+    def tagged(batches):  # the tag of the texts that may change, null for all others
+        bits = np.frombuffer(bitmap.value, np.int64)
+        for found in batches:
+            at = found.column(found.num_columns - 1).to_numpy()
+            maybe = (bits[at >> 6] >> (at & 63)) & 1
+            texts = byte_column(found.column(place))
+            tags = [
+                np.uint32(xxhash.xxh32_intdigest(b" ".join((x or b"").split()))).view(np.int32) if y else None
+                for x, y in zip(texts, maybe.tolist())
+            ]
+            rest = [found.column(k) for k in range(found.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*rest, pa.array(tags, pa.int32())], names=[*found.schema.names[:-1], marked]
+            )
+
+    schema = docs.withColumn(marked, F.lit(None).cast("int")).schema
+    rows = docs.withColumn(marked, slot).mapInArrow(tagged, schema)
+    kept = rows.where(F.col(marked).isNull() | F.col("doc_id").isNull()).drop(marked)
+    rows = rows.where(F.col(marked).isNotNull() & F.col("doc_id").isNotNull())
+    found = clean.select(*(F.col(c).alias(f"{marked}_{c}") for c in clean.columns))
+    rows = rows.join(
+        found,
+        (F.col("doc_id").cast("long") == F.col(f"{marked}_doc")) & (F.col(marked) == F.col(f"{marked}_tag")),
+        "left",
+    )
+    cut = F.col(f"{marked}_clean")
+    rows = rows.where(cut.isNull() | (F.trim(cut) != "")).withColumn("text", F.coalesce(cut, "text"))
+    return kept.unionByName(rows.select(*docs.columns))
