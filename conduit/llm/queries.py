@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from conduit.llm import pii, recompress, simhash, toxicity
+from conduit.llm import packing, pii, recompress, simhash, toxicity
 from conduit.llm.common import table
 
 
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learnt from the labels that are not held out."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -30,7 +36,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_toxicity, op4_simhash_near_copies, op6_personal_data, op10_substring_dedup)
+    for f in (op2_pack_sequences, op3_toxicity, op4_simhash_near_copies, op6_personal_data, op10_substring_dedup)
 }
 
 ORACLES = {
