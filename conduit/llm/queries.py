@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from conduit.llm import packing, pii, recompress, simhash, toxicity
+from conduit.llm import merkle, packing, pii, recompress, simhash, toxicity
 from conduit.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op9_document_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return merkle.document_prints(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that a smaller doc_id's windows cover, removed."""
     return recompress.without_repeats(table(spark, sf_dir, "documents"))
@@ -36,7 +41,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_pack_sequences, op3_toxicity, op4_simhash_near_copies, op6_personal_data, op10_substring_dedup)
+    for f in (op2_pack_sequences, op3_toxicity, op4_simhash_near_copies, op6_personal_data, op9_document_prints, op10_substring_dedup)
 }
 
 ORACLES = {
