@@ -161,17 +161,15 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
 
 
 class ChunkNames:
-    """64-bit names of the chunks of a buffer, from sums over its bytes.
+    """64-bit names of stretches of a buffer, from sums over its bytes.
 
-    A byte's random number times a power of the position, summed over a chunk and moved
-    back to position zero, does not depend on where the chunk stands.
+    A byte's random number times a power of the position, summed over a stretch and moved
+    back to position zero, does not depend on where the stretch stands.
     """
 
     def __init__(self):
         draw = np.random.default_rng(11)
         self.letter = draw.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.space = np.zeros(256, bool)
-        self.space[list(b" \t\n\v\f\r")] = True
         self._powers(1 << 21)
 
     def _powers(self, n: int) -> None:
@@ -180,40 +178,24 @@ class ChunkNames:
             back = np.uint64(pow(_BASE, -1, 1 << 64))
             self.down = np.multiply.accumulate(np.r_[1, np.full(n, back, np.uint64)].astype(np.uint64))
 
-    def of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Begin, end and name of every chunk of a buffer that ends with a space."""
+    def of(self, code: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         if len(code) > len(self.up):
             self._powers(2 * len(code))
-        gap = self.space[code]
-        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-        if not gap[0]:
-            edge = np.r_[0, edge]
-        begin, end = edge[::2], edge[1::2]
         with np.errstate(over="ignore"):
-            total = np.r_[np.zeros(1, np.uint64), np.cumsum(self.letter[code] * self.up[: len(code)], dtype=np.uint64)]
+            parts = self.letter[code] * self.up[: len(code)]
+            total = np.r_[np.zeros(1, np.uint64), np.cumsum(parts, dtype=np.uint64)]
             name = (total[end] - total[begin]) * self.down[begin]
-            return begin, end, (name ^ (name >> np.uint64(31))) + (end - begin).astype(np.uint64)
+            return (name ^ (name >> np.uint64(31))) + (end - begin).astype(np.uint64)
 
 
-class Coder:
-    """Ids of whole texts by the tokenizer at ``path``; one per worker and file."""
-
-    _made: dict[str, "Coder"] = {}
+class ChunkTable:
+    """Ids of texts by their chunks, each distinct chunk encoded once.
 
-    @classmethod
-    def of(cls, path: str) -> "Coder":
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    A subclass says how texts fall into chunks (``_chunks``) and encodes new ones
+    (``_learn``, which calls ``_add``). The table is dropped when it is full.
+    """
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.split = regex.compile(splits[0]["pattern"]["Regex"] + "| ").findall
-        self.special = [t["content"][:2] for t in spec["added_tokens"]]
-        self.merger = Merger(path)
+    def __init__(self):
         self.names = ChunkNames()
         self._forget()
 
@@ -236,6 +218,66 @@ class Coder:
         self.used += len(flat)
         self.known.update(zip(names, range(n, n + len(names))))
 
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        buffer, code, begin, end, edges = self._chunks(texts)
+        name = self.names.of(code, begin, end)
+        distinct, first, place = np.unique(name, return_index=True, return_inverse=True)
+        get = self.known.get
+        keys = distinct.tolist()
+        rows = [get(k, -1) for k in keys]
+        if -1 in rows:
+            fresh = [k for k, row in enumerate(rows) if row < 0]
+            if self.known and len(self.known) + len(fresh) > _KNOWN:
+                self._forget()
+                fresh = list(range(len(keys)))
+            where = first[fresh]
+            chunks = [buffer[a:b] for a, b in zip(begin[where].tolist(), end[where].tolist())]
+            self._learn(chunks, [keys[k] for k in fresh])
+            get = self.known.get
+            rows = [get(k) for k in keys]
+        rows = np.array(rows, np.int64)[place]
+        count = self.count[rows].astype(np.int64)
+        ids = gather(self.flat, self.begin[rows], count)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        return ids, np.diff(ends[edges])
+
+
+class Coder(ChunkTable):
+    """Ids of whole texts by the tokenizer at ``path``; one per worker and file."""
+
+    _made: dict[str, "Coder"] = {}
+
+    @classmethod
+    def of(cls, path: str) -> "Coder":
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
+        self.split = regex.compile(splits[0]["pattern"]["Regex"] + "| ").findall
+        self.special = [t["content"][:2] for t in spec["added_tokens"]]
+        self.merger = Merger(path)
+        self.space = np.zeros(256, bool)
+        self.space[list(b" \t\n\v\f\r")] = True
+        super().__init__()
+
+    def _chunks(self, texts):
+        """Stretches without plain white space."""
+        buffer = b" ".join([*texts, b""]) or b" "
+        code = np.frombuffer(buffer, np.uint8)
+        gap = self.space[code]
+        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+        if not gap[0]:
+            edge = np.r_[0, edge]
+        begin, end = edge[::2], edge[1::2]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        return buffer, code, begin, end, np.searchsorted(begin, np.r_[0, np.cumsum(sizes)])
+
     def _plain(self, text: str) -> bool:
         return bool(_PLAIN.fullmatch(text)) and not any(s in text for s in self.special)
 
@@ -261,29 +303,3 @@ class Coder:
         owner = np.cumsum(at == 0)
         sizes = np.bincount(owner, weights=counts[at], minlength=len(chunks)).astype(np.int64)
         self._add(names, gather(flat, begin[at], counts[at]), sizes)
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and how many each text has."""
-        buffer = b" ".join([*texts, b""]) or b" "
-        code = np.frombuffer(buffer, np.uint8)
-        begin, end, name = self.names.of(code)
-        distinct, first, place = np.unique(name, return_index=True, return_inverse=True)
-        get = self.known.get
-        keys = distinct.tolist()
-        rows = [get(k, -1) for k in keys]
-        if -1 in rows:
-            fresh = [k for k, row in enumerate(rows) if row < 0]
-            if self.known and len(self.known) + len(fresh) > _KNOWN:
-                self._forget()
-                fresh = list(range(len(keys)))
-            where = first[fresh]
-            chunks = [buffer[a:b] for a, b in zip(begin[where].tolist(), end[where].tolist())]
-            self._learn(chunks, [keys[k] for k in fresh])
-            get = self.known.get
-            rows = [get(k) for k in keys]
-        rows = np.array(rows, np.int64)[place]
-        count = self.count[rows].astype(np.int64)
-        ids = gather(self.flat, self.begin[rows], count)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        ends = np.concatenate([[0], np.cumsum(count)])
-        return ids, np.diff(ends[np.searchsorted(begin, np.r_[0, np.cumsum(sizes)])])
