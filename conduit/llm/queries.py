@@ -4,11 +4,27 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from conduit.llm import merkle, packing, pii, recompress, simhash, toxicity
+from pyspark.sql import functions as F
+
+from conduit.llm import (
+    merkle,
+    neighbours,
+    packing,
+    pii,
+    recompress,
+    sentencepieces,
+    simhash,
+    tokencounts,
+    toxicity,
+)
 from conduit.llm.common import table
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    return sentencepieces.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of 2048."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -24,11 +40,22 @@ def op4_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth embedding."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents."""
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after edits drawn from their own texts."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return tokencounts.counted(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op9_document_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return merkle.document_prints(table(spark, sf_dir, "documents"))
@@ -41,7 +68,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_pack_sequences, op3_toxicity, op4_simhash_near_copies, op6_personal_data, op9_document_prints, op10_substring_dedup)
+    for f in (
+        op1_sentence_pieces,
+        op2_pack_sequences,
+        op3_toxicity,
+        op4_simhash_near_copies,
+        op5_nearest_vectors,
+        op6_personal_data,
+        op8_token_counts,
+        op9_document_prints,
+        op10_substring_dedup,
+    )
 }
 
 ORACLES = {
