@@ -25,7 +25,7 @@ LIST_ROWS = 128  # vectors that a list is meant for
 LIST_BLOCK = 4096  # vectors of a list that are one block; a longer list has several
 REPLICAS, REPLICA_RATIO, APART = 4, 1.2, 0.3
 LEAST_PROBES, PROBES, PROBE_RATIO = 32, 96, 1.25
-_LINKS, _FAR_LINKS, _DOORS, _HOPS = 12, 4, 48, 12
+_LINKS, _FAR_LINKS, _DOORS, _OPENED = 16, 4, 48, 6
 _ROWS_AT_ONCE = 256
 
 
@@ -88,36 +88,31 @@ class CentroidGraph:
         return np.concatenate(ids), np.sqrt(np.maximum(np.concatenate(apart), 0)).astype(np.float64)
 
     def _search(self, x, beam):
-        at = np.broadcast_to(self.doors, (len(x), len(self.doors)))
-        held = self._top(at, self._apart(x, self.doors), beam)
-        opened = 4  # of the beam, per hop
-        for _ in range(_HOPS):
-            reach = self.links[held[0][:, :opened]].reshape(len(x), -1)
-            best = held[0]
-            held = self._top(
-                np.concatenate([best, reach], axis=1),
-                np.concatenate([held[1], self._apart(x, reach)], axis=1),
-                beam,
-            )
-            if held[0].shape == best.shape and (held[0][:, :opened] == best[:, :opened]).all():
-                if opened >= held[0].shape[1]:
-                    break
-                opened = min(2 * opened, held[0].shape[1])
-        return held
-
-    @staticmethod
-    def _top(ids, apart, beam):
-        order = np.lexsort((apart, ids), axis=1)
-        ids, apart = np.take_along_axis(ids, order, 1), np.take_along_axis(apart, order, 1)
-        apart = apart.copy()
-        apart[:, 1:][ids[:, 1:] == ids[:, :-1]] = np.inf  # found more than once
-        order = np.argsort(apart, axis=1, kind="stable")[:, :beam]
-        return np.take_along_axis(ids, order, 1), np.take_along_axis(apart, order, 1)
+        """Best-first: the nearest centroids not opened yet are opened, until none is in the beam."""
+        n, rows = len(self.centroids), np.arange(len(x))[:, None]
+        apart = np.full((len(x), n), np.inf, np.float32)
+        opened = np.zeros((len(x), n), bool)
+        apart[:, self.doors] = self._apart(x, self.doors)
+        for _ in range(-(-n // _OPENED)):
+            edge = np.partition(apart, beam - 1, axis=1)[:, beam - 1 : beam]
+            waiting = np.where(opened | (apart > edge), np.inf, apart)
+            some = min(_OPENED, n)
+            pick = np.argpartition(waiting, some - 1, axis=1)[:, :some]
+            live = np.isfinite(np.take_along_axis(waiting, pick, 1))
+            going = live.any(1)
+            if not going.any():
+                break
+            r = np.flatnonzero(going)
+            opened[rows[r], pick[r]] |= live[r]
+            reach = self.links[pick[r]].reshape(len(r), -1)
+            apart[rows[r], reach] = self._apart(x[r], reach)
+        order = np.argsort(apart, axis=1)[:, :beam]
+        return order, np.take_along_axis(apart, order, 1)
 
 
 def homes(graph: CentroidGraph, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and list of every copy of the vectors: the nearest list and those on a boundary."""
-    ids, apart = graph.search(vectors, 16)
+    ids, apart = graph.search(vectors, 32)
     rows, lists = [np.arange(len(vectors))], [ids[:, 0]]
     chosen = np.zeros(ids.shape, bool)
     chosen[:, 0] = True

@@ -14,6 +14,7 @@ from conduit.llm import (
     recompress,
     sentencepieces,
     simhash,
+    sitetree,
     tokencounts,
     toxicity,
 )
@@ -50,6 +51,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return sitetree.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents before and after edits drawn from their own texts."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -75,6 +81,7 @@ QUERIES = {
         op4_simhash_near_copies,
         op5_nearest_vectors,
         op6_personal_data,
+        op7_main_text,
         op8_token_counts,
         op9_document_prints,
         op10_substring_dedup,
