@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 NO_DATE = "0000-00-00 00:00:00"
 
+# Fixed value: a stored date's century, year, month, day, hour, minute and second are one
+# byte each; the first two are kept plus 100, the last three plus 1.
+_OFFSETS = (100, 100, 0, 0, 1, 1, 1)
+
 
 def iso8601(ts: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss.SSS``."""
@@ -34,8 +38,19 @@ def full_date_ms(epoch_ms: Column) -> Column:
 
 
 def database_date(ts: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss``; a missing date is all zeros."""
-    return F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(NO_DATE))
+    """``yyyy-MM-dd HH:mm:ss``; a missing date is missing."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def stored_date(raw: Column) -> Column:
+    """Text of a date as it is stored, in seven bytes; a century byte of zero is no date."""
+    raw = raw.cast("binary")
+    parts = [
+        F.conv(F.hex(F.substring(raw, at + 1, 1)), 16, 10).cast("int") - offset
+        for at, offset in enumerate(_OFFSETS)
+    ]
+    text = F.format_string("%02d%02d-%02d-%02d %02d:%02d:%02d", *parts)
+    return F.when(F.octet_length(raw) >= 7, F.when(F.hex(F.substring(raw, 1, 1)) == "00", NO_DATE).otherwise(text))
 
 
 def blank_padded(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK = 16
@@ -14,7 +14,10 @@ def _binary(value: Column) -> Column:
 
 def base64_encode(value: Column) -> Column:
     """Standard base64 on a single line, whatever the session says on chunking."""
-    return F.translate(F.base64(_binary(value)), "\r\n", "")
+    encoded = F.base64(_binary(value))
+    session = SparkSession.getActiveSession()
+    single = session and session.conf.get("spark.sql.chunkBase64String.enabled", "true") == "false"
+    return encoded if single else F.translate(encoded, "\r\n", "")
 
 
 def base64_decode(text: Column) -> Column:
@@ -43,18 +46,25 @@ def fingerprint(value: Column, algorithm: str = "md5") -> Column:
 
 
 def _zero_padded(value: Column, size: Column) -> Column:
-    return F.unhex(F.rpad(F.hex(value), (size * 2).cast("int"), "0"))
+    return F.concat(value, F.substring(F.lit(bytes(BLOCK)), F.lit(1), size - F.octet_length(value)))
+
+
+def _key(key: Column) -> Column:
+    """A key of 16 bytes; any other, and none at all, is an error."""
+    key = _binary(key)
+    good = F.coalesce(F.octet_length(key) == BLOCK, F.lit(False))
+    return F.when(good, key).otherwise(F.raise_error(F.lit("the key must have 16 bytes")).cast("binary"))
 
 
 def aes_block_encrypt(block: Column, key: Column) -> Column:
     """AES-ECB of one 16-byte block, no padding."""
-    padded = F.aes_encrypt(_binary(block), _binary(key), F.lit("ECB"), F.lit("PKCS"))
+    padded = F.aes_encrypt(_binary(block), _key(key), F.lit("ECB"), F.lit("PKCS"))
     return F.substring(padded, 1, BLOCK)
 
 
 def aes_block_decrypt(block: Column, key: Column) -> Column:
     """Inverse of :func:`aes_block_encrypt`."""
-    key = _binary(key)
+    key = _key(key)
     # The cipher wants a padding block at the end: encrypting nothing yields one.
     tail = F.aes_encrypt(F.lit(b""), key, F.lit("ECB"), F.lit("PKCS"))
     return F.aes_decrypt(F.concat(_binary(block), tail), key, F.lit("ECB"), F.lit("PKCS"))
@@ -62,7 +72,7 @@ def aes_block_decrypt(block: Column, key: Column) -> Column:
 
 def aes_cbc_encrypt(value: Column, key: Column, iv: Column) -> Column:
     """AES-CBC with the last partial block filled with zero bytes."""
-    value, key, iv = _binary(value), _binary(key), _binary(iv)
+    value, key, iv = _binary(value), _key(key), _binary(iv)
     size = (F.ceil(F.octet_length(value) / BLOCK) * BLOCK).cast("int")
     sealed = F.aes_encrypt(
         _zero_padded(value, size), key, F.lit("CBC"), F.lit("PKCS"), iv
@@ -73,7 +83,7 @@ def aes_cbc_encrypt(value: Column, key: Column, iv: Column) -> Column:
 
 def aes_cbc_decrypt(sealed: Column, key: Column, iv: Column, length: Column) -> Column:
     """Inverse of :func:`aes_cbc_encrypt`; needs the original length in bytes."""
-    sealed, key, iv = _binary(sealed), _binary(key), _binary(iv)
+    sealed, key, iv = _binary(sealed), _key(key), _binary(iv)
     size = F.octet_length(sealed)
     last = F.when(size > 0, F.substring(sealed, size - BLOCK + 1, F.lit(BLOCK))).otherwise(iv)
     padding = F.substring(

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from conduit.functions import patterns as P
+from conduit.functions.strings import trim
 
 
 def full_match(text: Column, pattern: str) -> Column:
@@ -25,6 +26,16 @@ def is_hostname(text: Column) -> Column:
     return edges & ~broken
 
 
+def is_username(text: Column) -> Column:
+    """Runs of letters and digits with one of ``._-`` between them.
+
+    Also tested by what must not occur: a repeated group of the pattern would go
+    one level deeper into the matcher per run.
+    """
+    edges = text.rlike(r"\A[A-Za-z0-9]") & text.rlike(r"[A-Za-z0-9]\z")
+    return edges & ~text.rlike(r"[._-][._-]|[^A-Za-z0-9._-]")
+
+
 def is_strict_hostname(text: Column) -> Column:
     """The same with a dot as the only separator."""
     return is_hostname(text) & ~text.rlike(r"[^A-Za-z0-9.-]")
@@ -32,7 +43,7 @@ def is_strict_hostname(text: Column) -> Column:
 
 VALIDATORS = {
     "hostname": is_hostname,
-    "username": lambda c: full_match(c, P.USERNAME),
+    "username": is_username,
     "tns": lambda c: full_match(c, P.TNS_NAME),
     "consumer": lambda c: full_match(c, P.CONSUMER_NAME),
     "rowid": lambda c: full_match(c, P.ROW_ID),
@@ -58,23 +69,25 @@ def resource_kind(arn: Column) -> Column:
     return F.struct(kind.alias("kind"), stream.alias("stream"))
 
 
-_SCHEME = r"(?s)\A([^:?]*)://(?=.)"
+_SCHEME = r"(?s)\A([^:]*)://(?=.)"
 
 
 def split_uri(uri: Column) -> Column:
     """``struct(protocol, host, port, path, filename, query)``.
 
-    Missing parts are empty; the query keeps its ``?``; user info is not known.
+    Missing parts are empty; the query keeps its ``?``; user info is not known. The
+    protocol is all before the first ``://``, also beyond a ``?``, but the query
+    begins at the first ``?`` of the whole text.
     """
     rest = F.regexp_replace(uri, _SCHEME, "")
     authority = F.regexp_extract(rest, r"\A[^/?]*", 0)
-    path = F.trim(F.regexp_extract(rest, r"(?s)\A[^/?]*(/[^?]*)", 1))
+    path = trim(F.regexp_extract(rest, r"(?s)\A[^/?]*(/[^?]*)", 1))
     return F.struct(
         F.lower(F.regexp_extract(uri, _SCHEME, 1)).alias("protocol"),
-        F.trim(F.substring_index(authority, ":", 1)).alias("host"),
-        F.trim(F.regexp_extract(authority, r"(?s):(.*)\z", 1)).alias("port"),
+        trim(F.substring_index(authority, ":", 1)).alias("host"),
+        trim(F.regexp_extract(authority, r"(?s):(.*)\z", 1)).alias("port"),
         path.alias("path"),
-        F.trim(F.regexp_extract(path, r"([^/\\]*)\z", 1)).alias("filename"),
+        trim(F.regexp_extract(path, r"([^/\\]*)\z", 1)).alias("filename"),
         F.regexp_extract(uri, r"(?s)\?.*\z", 0).alias("query"),
     )
 

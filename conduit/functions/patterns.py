@@ -5,8 +5,8 @@ here as plain text.
 """
 
 # Patterns, matched against the whole text. A dot stands for any character. The
-# two of host names are what `network.is_hostname` decides in linear time; only
-# the SQL form of the query uses them as they stand.
+# ones of host and user names are what `network` decides in linear time; only the
+# SQL form of the query uses them as they stand.
 ADDRESS = r"(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)(.(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)){3}"
 HOST_NAME = (
     r"(([a-zA-Z0-9]|[a-zA-Z0-9][a-zA-Z0-9-]*[a-zA-Z0-9]).)*"

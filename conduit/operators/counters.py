@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conduit.functions.numbers import parse_identity
 from conduit.plans.segments import ordered_segments, running
@@ -58,17 +59,28 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def add_to_fields(
     df: DataFrame, key: Column, fields: dict[str, Column], name: str = "key"
 ) -> DataFrame:
-    """Totals ``(key, field, value)`` of increments, one field per named amount.
+    """Totals ``(key, field, value, whole)`` of increments, one field per named amount.
 
-    A field whose amounts are all NULL was never touched and has no row.
+    Fields of whole amounts are summed as bigint, which ``whole`` holds exactly; the
+    others as double. ``value`` is the double of either. A field whose amounts are all
+    NULL was never touched and has no row.
     """
+    kinds = df.select(*[a.alias(f"_{at}") for at, a in enumerate(fields.values())]).schema.fields
+    exact = [isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for f in kinds]
     totals = df.groupBy(key.alias(name)).agg(
-        *[F.sum(amount.cast("double")).alias(f"_{at}") for at, amount in enumerate(fields.values())]
+        *[
+            F.sum(amount.cast("bigint" if exact[at] else "double")).alias(f"_{at}")
+            for at, amount in enumerate(fields.values())
+        ]
     )
     # one row per key so far; only now is it spread to one per field
     pairs = F.array(
         *[
-            F.struct(F.lit(field).alias("field"), F.col(f"_{at}").alias("value"))
+            F.struct(
+                F.lit(field).alias("field"),
+                F.col(f"_{at}").cast("double").alias("value"),
+                (F.col(f"_{at}") if exact[at] else F.lit(None)).cast("bigint").alias("whole"),
+            )
             for at, field in enumerate(fields)
         ]
     )
@@ -105,22 +117,15 @@ def whole_hash(values: DataFrame, key: str, wanted) -> DataFrame:
     return values.filter(F.col(key) == F.lit(wanted)).select("field", "value")
 
 
-def hash_maps(values: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """One map per key over a known list of fields, absent fields left out.
+def hash_maps(values: DataFrame, key: str) -> DataFrame:
+    """One map per key with every field it has.
 
-    The list bounds the map; hashes with open-ended fields stay in row form.
+    A map is one value, so a key's fields must fit into one; ``values`` itself is the
+    form for hashes with more.
     """
-    held = F.create_map(
-        *[
-            x
-            for f in fields
-            for x in (F.lit(f), F.max(F.when(F.col("field") == f, F.col("value"))))
-        ]
-    )
-    return (
-        values.filter(F.col("field").isin(*fields))
-        .groupBy(key)
-        .agg(F.map_filter(held, lambda _, v: v.isNotNull()).alias("fields"))
+    held = values.filter(F.col("value").isNotNull()).groupBy(key, "field").agg(F.max("value").alias("value"))
+    return held.groupBy(key).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("fields")
     )
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from conduit.operators.typing import check_binds
 
 # Fixed value: quoted text with doubled quotes inside, or a placeholder that no
-# word character precedes. Runs of plain characters are one step each, so long
-# quoted texts do not exhaust the stack of the matcher.
-_QUOTED = r"'[^']*(?:''[^']*)*'"
-_SCAN = rf"({_QUOTED})|\B(:[a-zA-Z0-9_]+)"
-_MARK = "\x01"
+# word character precedes. Possessive repetition loops instead of going deeper, so
+# no length of text exhausts the stack of the matcher; a quote that nothing closes
+# falls back to the first pair, and the pairs behind it match one by one.
+_QUOTED = r"'[^']*+(?:''[^']*+)*+'|'[^']*+'"
+_SCAN = rf"{_QUOTED}|\B(:[a-zA-Z0-9_]+)"
+# the same, and all that is neither: the matches cover the text
+_PARTS = rf"(?:{_QUOTED})|\B:[a-zA-Z0-9_]+|[^':]++|[':]"
 
 
 def sql(spark: SparkSession, text: str, args=None, **tables: DataFrame) -> DataFrame:
@@ -23,15 +25,15 @@ def sql(spark: SparkSession, text: str, args=None, **tables: DataFrame) -> DataF
 
 def count_placeholders(text: Column) -> Column:
     """Number of ``:name`` placeholders outside quoted text."""
-    names = F.regexp_extract_all(text, F.lit(_SCAN), F.lit(2))
+    names = F.regexp_extract_all(text, F.lit(_SCAN), F.lit(1))
     return F.size(F.filter(names, lambda name: name != ""))
 
 
 def positional_placeholders(text: Column) -> Column:
     """Every ``:name`` outside quoted text replaced by ``?``."""
-    marked = F.regexp_replace(text, _SCAN, f"$1{_MARK}$2")
-    asked = F.regexp_replace(marked, rf"{_MARK}:[a-zA-Z0-9_]+", "?")
-    return F.translate(asked, _MARK, "")
+    parts = F.regexp_extract_all(text, F.lit(_PARTS), F.lit(0))
+    named = lambda part: part.rlike(r"\A:.")  # noqa: E731  (a lone colon is one character)
+    return F.array_join(F.transform(parts, lambda p: F.when(named(p), "?").otherwise(p)), "")
 
 
 def insert_rows(df: DataFrame, rows: DataFrame) -> DataFrame:

@@ -26,10 +26,11 @@ FACTS = (
 )
 
 # perm nlink [uid] ... size month day time-or-year name; the token before the
-# first month name is the size, and that choice is final (atomic group)
+# first month name is the size, and that choice is final (atomic group). Tokens that
+# no month follows are skipped possessively, which loops and does not go deeper.
 UNIX = (
     r"(?s)\A(?>([bcdlps-][^ ]?)[^ ]* +(?:f[^ ]{5} +|[^ ]+ +[^ ]+ +)"
-    rf"(?:([^ ]+) +)+?({_MONTH}) +)([0-9]+) +"
+    rf"(?:[^ ]++ ++(?!{_MONTH} ))*+([^ ]++) ++({_MONTH}) +)([0-9]+) +"
     r"(?:([0-9]{1,2}):([0-9]{2})|([0-9]{4,})) (.*)\z",
     {
         "form": "unix", "mark": "$1", "size": "$2", "year": "$7", "month": "$3", "day": "$4",
@@ -57,7 +58,9 @@ DOS = (
     },
 )
 
-_MARK = "\x01"
+# Between the parts of a line while they are one text. A line that holds the mark
+# itself has it spelt in two characters meanwhile.
+_MARK, _SPELT = "\x01", "\x02"
 
 _DAY = 86400
 _GUESS_DAYS = 350  # a date without a year is less than this far in the past
@@ -67,10 +70,17 @@ def _laid_out(line: Column, family: tuple[str, dict[str, str]]) -> Column:
     """Array of the common parts of a matching line, from one pass; else NULL."""
     pattern, groups = family
     layout = _MARK.join(groups.get(part, "") for part in _PARTS)
-    parts = F.split(F.regexp_replace(line, pattern, layout), _MARK, len(_PARTS))
+    held = line.contains(_MARK) | line.contains(_SPELT)
+    spelt = F.replace(F.replace(line, F.lit(_SPELT), F.lit(f"{_SPELT}b")), F.lit(_MARK), F.lit(f"{_SPELT}a"))
+    parts = F.split(F.regexp_replace(F.when(held, spelt).otherwise(line), pattern, layout), _MARK, len(_PARTS))
     return F.when(line.rlike(pattern), parts)
 
 
+def _unspelt(part: Column) -> Column:
+    plain = F.replace(F.replace(part, F.lit(f"{_SPELT}a"), F.lit(_MARK)), F.lit(f"{_SPELT}b"), F.lit(_SPELT))
+    return F.when(part.contains(_SPELT), plain).otherwise(part)
+
+
 def _recognised(line: Column) -> Column:
     """Parts of a line by its family, NULL when it is no entry."""
     head = F.substring(line, 1, 1)
@@ -84,7 +94,12 @@ def _recognised(line: Column) -> Column:
 
 def _number(text: Column) -> Column:
     # a failing cast costs an exception per row, so only digits reach it
-    return F.when(text.rlike(r"\A[0-9]{1,18}\z"), text.cast("bigint"))
+    return F.when(text.rlike(r"\A0*[0-9]{1,19}\z"), text.try_cast("bigint"))
+
+
+def _small(text: Column) -> Column:
+    """A number of a date: what no calendar has is NULL."""
+    return F.when(text.rlike(r"\A0*[0-9]{1,6}\z"), text.cast("int"))
 
 
 def _day_seconds(year: Column, month: Column, day: Column) -> Column:
@@ -124,26 +139,29 @@ def parse_listing(df: DataFrame, column: str, as_of: Column) -> DataFrame:
     found = F.transform(F.array(F.col(f"`{column}`")), _recognised)
     matched = df.select(*kept, F.explode(F.array_compact(found)).alias("_p"))
     part = {name: F.col("_p")[at] for at, name in enumerate(_PARTS)}
-    form, mark = part["form"], part["mark"]
+    # a line with a date beyond any calendar is no entry
+    dated = [(part[n] == "") | _small(part[n]).isNotNull() for n in ("year", "day", "hour", "minute")]
+    matched = matched.filter(dated[0] & dated[1] & dated[2] & dated[3])
+    form, mark = part["form"], _unspelt(part["mark"])
     months = F.array(*[F.lit(m) for m in MONTHS])
-    hour = F.coalesce(_number(part["hour"]), F.lit(0))
+    hour = F.coalesce(_small(part["hour"]), F.lit(0)).cast("bigint")
     staged = matched.select(
         *kept,
         form.alias("_form"),
         mark.alias("_mark"),
-        part["name"].alias("_name"),
+        _unspelt(part["name"]).alias("_name"),
         _number(part["size"]).alias("_size"),
-        _year(_number(part["year"]), form == "dos").alias("_year"),
+        _year(_small(part["year"]), form == "dos").alias("_year"),
         F.coalesce(
-            _number(part["month"]), F.array_position(months, F.lower(part["month"]))
+            _small(part["month"]).cast("bigint"), F.array_position(months, F.lower(part["month"]))
         ).alias("_month"),
-        F.coalesce(_number(part["day"]), F.lit(0)).alias("_day"),
+        F.coalesce(_small(part["day"]), F.lit(0)).alias("_day"),
         (
             F.when(part["half"] == "", hour)
             .when(part["half"] == "P", hour % 12 + 12)
             .otherwise(hour % 12)
             * 3600
-            + F.coalesce(_number(part["minute"]), F.lit(0)) * 60
+            + F.coalesce(_small(part["minute"]), F.lit(0)) * 60
         ).alias("_clock"),
         # only facts closed by a comma count
         F.when(

@@ -105,9 +105,8 @@ def parse_responses(df: DataFrame, column: str, timeout: bool = True) -> DataFra
         .otherwise(F.lit(TIMED_OUT) if timeout else code)
         .alias("retcode"),
         *[given[name].alias(name) for name in ("imsi", "imei", "vlr")],
-        F.to_timestamp_ntz(
-            F.regexp_replace(given["action"], _GAP, " "), F.lit("yyyy-MM-dd HH:mm:ss")
-        ).alias("lastactive"),
+        # a moment that does not exist is none
+        F.regexp_replace(given["action"], _GAP, " ").try_cast("timestamp_ntz").alias("lastactive"),
         F.conv(F.substring(given["cell"], 1, 4), 16, 10).cast("int").alias("lac"),
         F.conv(F.substring(given["cell"], 5, 4), 16, 10).cast("int").alias("cell"),
     )
@@ -140,13 +139,18 @@ def level_rank(level: Column) -> Column:
 
 
 def parse_log(df: DataFrame, column: str) -> DataFrame:
-    """``(ts, pid, level, text)`` of the lines in log form; the others drop."""
+    """``(ts, pid, level, text)`` of the lines in log form; the others drop.
+
+    So does a line whose moment does not exist or whose number is out of range.
+    """
     line = F.col(f"`{column}`")
     part = lambda group: F.regexp_extract(line, _LOG_LINE, group)
-    return df.filter(line.rlike(_LOG_LINE)).select(
+    moment, number = part(1).try_cast("timestamp_ntz"), part(2).try_cast("bigint")
+    good = line.rlike(_LOG_LINE) & moment.isNotNull() & number.isNotNull()
+    return df.filter(good).select(
         *[F.col(f"`{c}`") for c in df.columns if c != column],
-        F.to_timestamp_ntz(part(1), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")).alias("ts"),
-        part(2).cast("bigint").alias("pid"),
+        moment.alias("ts"),
+        number.alias("pid"),
         part(3).alias("level"),
         part(4).alias("text"),
     )

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conduit.functions.dates import database_date
+from conduit.functions.dates import database_date, stored_date
 
 SIX_TYPES = ("void", "boolean", "bigint", "double", "string", "binary")
 
@@ -56,14 +57,14 @@ def from_avro_frame(df: DataFrame) -> DataFrame:
 def from_oracle_frame(df: DataFrame, large_objects: tuple[str, ...] = ()) -> DataFrame:
     """Normalise a JDBC frame of an Oracle query.
 
-    NUMBER with a scale is double, without one bigint; dates are text with an
-    all-zero form for NULL kept NULL; CHAR is right-trimmed; LOBs are NULL.
+    NUMBER with a scale is double, without one bigint; dates are text, NULL ones
+    NULL; CHAR is right-trimmed; LOBs are bytes, and always NULL.
     """
     columns = []
     for f in df.schema.fields:
         column = _named(f.name)
         if f.name in large_objects:
-            column = F.lit(None).cast("string")
+            column = F.lit(None).cast("binary")
         elif isinstance(f.dataType, T.DecimalType):
             column = column.cast("double" if f.dataType.scale > 0 else "bigint")
         elif isinstance(f.dataType, T.StringType):
@@ -75,10 +76,15 @@ def from_oracle_frame(df: DataFrame, large_objects: tuple[str, ...] = ()) -> Dat
 
 
 def oracle_date(ts: Column) -> Column:
-    """Date text; a date without a century is all zeros."""
+    """Date text of a timestamp; NULL stays NULL."""
     return database_date(ts)
 
 
+def oracle_stored_date(raw: Column) -> Column:
+    """Date text of the seven bytes a date is stored in; all zeros without a century."""
+    return stored_date(raw)
+
+
 def sqlite_type(declared: Column) -> Column:
     """Normalised type of a declared SQLite type; case-sensitive substrings."""
     return (
@@ -129,5 +135,11 @@ def check_binds(args):
             raise TypeError(f"cannot bind a {type(value).__name__}")
         if isinstance(value, int) and not -(2**63) <= value < 2**64:
             raise OverflowError(f"integer out of range: {value}")
-    clean = lambda v: str(v) if isinstance(v, uuid.UUID) else v
+    def clean(value):
+        if isinstance(value, uuid.UUID):
+            return str(value)
+        if isinstance(value, int) and value >= 2**63:  # beyond bigint, but exact as a decimal
+            return Decimal(value)
+        return value
+
     return {k: clean(v) for k, v in args.items()} if named else [clean(v) for v in args]

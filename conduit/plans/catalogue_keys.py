@@ -281,16 +281,21 @@ def agg03_parse_identity(spark, folder):
 
 
 @query("""
-    SELECT key, field, round(value, 2) AS value FROM (
+    SELECT key, field, round(coalesce(value, CAST(whole AS DOUBLE)), 2) AS value, whole FROM (
       SELECT 'stats:' || strftime(ts, '%Y%m%d%H') AS key, 'count' AS field,
-             CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY 1
-      UNION ALL SELECT 'stats:' || strftime(ts, '%Y%m%d%H'), 'amount', sum(value)
-      FROM events GROUP BY 1)
+             CAST(NULL AS DOUBLE) AS value, count(*) AS whole FROM events GROUP BY 1
+      UNION ALL SELECT 'stats:' || strftime(ts, '%Y%m%d%H'), 'amount', sum(value), NULL
+      FROM events GROUP BY 1
+      UNION ALL SELECT 'stats:' || strftime(ts, '%Y%m%d%H'), 'large', NULL,
+             CAST(sum(event_id + 9007199254740993) AS BIGINT) FROM events GROUP BY 1)
 """)
 def agg04_hash_counters(spark, folder):
     key = F.concat(F.lit("stats:"), F.date_format("ts", "yyyyMMddHH"))
     totals = counters.add_to_fields(
-        table(spark, folder, "events"), key, {"count": F.lit(1), "amount": F.col("value")}
+        table(spark, folder, "events"),
+        key,
+        # the last is beyond what a double holds exactly
+        {"count": F.lit(1), "amount": F.col("value"), "large": F.col("event_id") + 2**53 + 1},
     )
     return totals.withColumn("value", F.round("value", 2))
 
@@ -319,7 +324,7 @@ def agg05_scalar_counter(spark, folder):
 def agg06_whole_hash(spark, folder):
     events = table(spark, folder, "events").withColumnRenamed("event_type", "field")
     values = counters.increment(events, ["user_id", "field"], value=1)
-    maps = counters.hash_maps(values, "user_id", list(KIND_OF))
+    maps = counters.hash_maps(values, "user_id")
     return maps.select("user_id", F.explode("fields").alias("field", "value"))
 
 

@@ -247,7 +247,7 @@ def typ01_sqlite_affinity(spark, folder):
 @query("""
     SELECT o_orderkey AS id, o_totalprice AS price, CAST(round(o_totalprice) AS BIGINT) AS whole,
            o_orderstatus AS code, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed,
-           CAST(NULL AS VARCHAR) AS body
+           CAST(NULL AS BLOB) AS body
     FROM orders
 """)
 def typ02_oracle_map(spark, folder):
@@ -264,16 +264,26 @@ def typ02_oracle_map(spark, folder):
 
 
 @query("""
-    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '0000-00-00 00:00:00'
-                       ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS placed,
+    SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P'
+                       THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS placed,
+           CASE WHEN o_orderstatus = 'P' THEN '0000-00-00 00:00:00'
+                ELSE strftime(o_orderdate, '%Y-%m-%d') || ' 01:02:03' END AS stored,
            o_orderpriority AS code
     FROM orders
 """)
 def typ03_oracle_date_text(spark, folder):
     placed = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    byte = lambda value: F.lpad(F.hex(value), 2, "0")
+    year = F.year("o_orderdate")
+    century = F.when(F.col("o_orderstatus") == "P", 0).otherwise((year / 100).cast("int") + 100)
+    stored = F.concat(
+        byte(century), byte(year % 100 + 100), byte(F.month("o_orderdate")),
+        byte(F.day("o_orderdate")), *[byte(F.lit(n)) for n in (2, 3, 4)],
+    )
     return table(spark, folder, "orders").select(
         "o_orderkey",
         typing.oracle_date(placed).alias("placed"),
+        typing.oracle_stored_date(F.unhex(stored)).alias("stored"),
         F.rtrim(F.rpad("o_orderpriority", 20, " ")).alias("code"),
     )
 

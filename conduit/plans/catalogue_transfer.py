@@ -18,33 +18,73 @@ def _tables(spark, folder):
     return objects.list_objects(spark, folder, names)
 
 
-@query()
+# Objects made of table rows: one per supplier, some of them empty, in folders by nation.
+_NAME_SQL = "'n' || s_nationkey || '/' || s_suppkey || '.txt'"
+_BODY_SQL = "repeat(s_name || chr(10), CAST(s_suppkey % 40 AS INTEGER))"
+_RANGE = 100  # bytes, so that small objects have several ranges
+
+
+def _supplier_objects(spark, folder):
+    """The suppliers stored as objects, and listed again."""
+    rows = table(spark, folder, "supplier").select(
+        F.concat(F.lit("n"), F.col("s_nationkey").cast("string"), F.lit("/"), F.col("s_suppkey").cast("string"), F.lit(".txt")).alias("name"),
+        F.expr("repeat(concat(s_name, chr(10)), cast(s_suppkey % 40 as int))").cast("binary").alias("content"),
+    )
+    path = scratch_path(spark, "suppliers")
+    objects.write_objects(rows, path)
+    return objects.list_objects(spark, path)
+
+
+@query(f"""
+    SELECT {_NAME_SQL} AS name, strlen({_BODY_SQL}) AS size, 'FILE' AS flag, 'FILE' AS protocol
+    FROM supplier
+""")
 def src01_object_listing(spark, folder):
-    return _tables(spark, folder).select("name", "size", "flag", "protocol")
+    return _supplier_objects(spark, folder).select("name", "size", "flag", "protocol")
 
 
 @query()
+def src01_table_files(spark, folder):
+    return _tables(spark, folder).select("name", "size", "flag", "protocol")
+
+
+@query(f"SELECT {_NAME_SQL} AS name, strlen({_BODY_SQL}) AS bytes, md5({_BODY_SQL}) AS md5 FROM supplier")
 def src03_object_content(spark, folder):
-    return objects.digest_objects(_tables(spark, folder)).select("name", "bytes", "md5")
+    return objects.plain_digests(_supplier_objects(spark, folder)).select("name", "bytes", "md5")
 
 
-@query()
+@query(f"SELECT count(*) AS objects, CAST(sum(strlen({_BODY_SQL})) AS BIGINT) AS bytes FROM supplier")
 def agg11_listing_totals(spark, folder):
-    return objects.listing_totals(_tables(spark, folder))
+    return objects.listing_totals(_supplier_objects(spark, folder))
 
 
-@query()
+def _arrived(copied, name="name"):
+    """What a copy left at its destination, read back, beside the digest of what was sent."""
+    listing = copied.select(F.col("dest").alias("path"), F.expr(name).alias("name"), F.col("bytes").alias("size"))
+    sent = copied.select(F.expr(name).alias("name"), F.col("ranges_md5").alias("sent"))
+    read = objects.digest_objects(listing, _RANGE).select("name", F.col("ranges_md5").alias("read"))
+    plain = objects.plain_digests(listing)
+    return plain.join(read, "name").join(sent, "name").select(
+        "name", "bytes", "md5", (F.col("sent") == F.col("read")).alias("same")
+    )
+
+
+_SENT_SQL = f"""
+    SELECT {_NAME_SQL} AS name, strlen({_BODY_SQL}) AS bytes, md5({_BODY_SQL}) AS md5, true AS same
+    FROM supplier
+"""
+
+
+@query(_SENT_SQL)
 def snk01_bulk_copy(spark, folder):
+    source = _supplier_objects(spark, folder)
+    return _arrived(objects.copy_objects(source, scratch_path(spark, "copies"), range_bytes=_RANGE))
+
+
+@query()
+def snk01_table_copy(spark, folder):
     source = _tables(spark, folder)
-    copied = objects.copy_objects(source, scratch_path(spark, "copies"))
-    # what arrived, read back, beside what was sent
-    arrived = objects.digest_objects(
-        copied.select(F.col("dest").alias("path"), "name", F.col("bytes").alias("size"))
-    )
-    sent = copied.select("name", F.col("bytes").alias("sent"), F.col("md5").alias("sent_md5"))
-    return arrived.join(sent, "name").select(
-        "name", "bytes", (F.col("md5") == F.col("sent_md5")).alias("same")
-    )
+    return _arrived(objects.copy_objects(source, scratch_path(spark, "copies"), range_bytes=_RANGE * 4096)).select("name", "bytes", "md5")
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
@@ -65,27 +105,17 @@ def snk02_compressed_text(spark, folder):
     return spark.read.schema(orders.schema).csv(path)
 
 
-@query()
+@query(_SENT_SQL)
 def snk02_compressed_objects(spark, folder):
-    source = _tables(spark, folder)
-    packed = objects.copy_objects(source, scratch_path(spark, "packed"), "compress")
+    source = _supplier_objects(spark, folder)
+    packed = objects.copy_objects(source, scratch_path(spark, "packed"), "compress", _RANGE)
     listing = packed.select(
         F.col("dest").alias("path"),
         F.concat("name", F.lit(".bz2")).alias("name"),
         F.col("bytes").alias("size"),
     )
-    opened = objects.copy_objects(listing, scratch_path(spark, "opened"), "decompress")
-    after = objects.digest_objects(
-        opened.select(
-            F.col("dest").alias("path"),
-            F.regexp_replace("name", r"\.bz2\z", "").alias("name"),
-            F.col("bytes").alias("size"),
-        )
-    )
-    before = objects.digest_objects(source).select("name", F.col("md5").alias("original"))
-    return after.join(before, "name").select(
-        "name", "bytes", (F.col("md5") == F.col("original")).alias("same")
-    )
+    opened = objects.copy_objects(listing, scratch_path(spark, "opened"), "decompress", _RANGE)
+    return _arrived(opened, "regexp_replace(name, '[.]bz2$', '')")
 
 
 @query("SELECT count(*) AS accepted, 0 AS stored FROM lineitem")

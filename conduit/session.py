@@ -19,6 +19,10 @@ SETTINGS = {
     # HotSpot never compiles a method above 8000 bytes of byte code; for such a
     # stage the operator-at-a-time code, cut into small methods, is faster
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # of a member that a JSON object has twice, the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # base64 on one line, so nothing has to take line ends out again
+    "spark.sql.chunkBase64String.enabled": "false",
 }
 
 

@@ -12,6 +12,7 @@ import os
 import re
 import stat
 import sys
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -225,40 +226,94 @@ def _pieces(handle, length: int) -> Iterator[bytes]:
         yield bytes(piece)
 
 
-def _digest_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for row in batch.itertuples(index=False):
-            digest = hashlib.md5()
-            with _open_input(row.path) as handle:
-                handle.seek(row.offset)
-                for piece in _pieces(handle, row.length):
-                    digest.update(piece)
-            rows.append((row.path, row.name, row.offset, row.length, digest.hexdigest()))
-        yield pd.DataFrame(rows, columns=["path", "name", "offset", "length", "md5"])
+class _RangeDigests:
+    """MD5s of the fixed ranges of one object, from pieces that come in order."""
+
+    def __init__(self, range_bytes: int, offset: int = 0):
+        self.range_bytes, self.offset, self.left = range_bytes, offset, range_bytes
+        self.digest, self.done = hashlib.md5(), []
+
+    def update(self, piece: bytes) -> None:
+        view = memoryview(piece)
+        while view:
+            if not self.left:
+                self._close()
+            part = view[: self.left]
+            self.digest.update(part)
+            self.left -= len(part)
+            view = view[len(part) :]
+
+    def _close(self) -> None:
+        size = self.range_bytes - self.left
+        self.done.append((self.offset, size, self.digest.hexdigest()))
+        self.offset += size
+        self.digest, self.left = hashlib.md5(), self.range_bytes
+
+    def rows(self, path: str, name: str) -> list[tuple]:
+        self._close()  # an empty object has one range, of no bytes
+        return [(path, name, *range_) for range_ in self.done]
+
+
+_DIGEST_COLUMNS = ["path", "name", "offset", "length", "md5"]
+
+
+def _range_digester(range_bytes: int):
+    def digest_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                digests = _RangeDigests(range_bytes, row.offset)
+                with _open_input(row.path) as handle:
+                    handle.seek(row.offset)
+                    for piece in _pieces(handle, row.length):
+                        digests.update(piece)
+                rows += digests.rows(row.path, row.name)
+            yield pd.DataFrame(rows, columns=_DIGEST_COLUMNS)
+
+    return digest_ranges
 
 
 _RANGE_DIGEST = "path string, name string, offset bigint, length bigint, md5 string"
 
 
 def _whole_digest(ranges: DataFrame, *more: Column) -> DataFrame:
-    """Per object: bytes and digest. Several ranges give the digest of their
-    digests with the number of ranges, one range its own."""
+    """Per object: bytes and the MD5 of its ranges' MD5s with their number.
+
+    The form is the same for objects of one range and of many, and for every scheme.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("offset", "md5")))
     joined = F.array_join(F.transform(ordered, lambda r: r["md5"]), "")
-    count = F.count(F.lit(1))
-    tree = F.concat(F.md5(F.unhex(joined)), F.lit("-"), count.cast("string"))
+    tree = F.concat(F.md5(F.unhex(joined)), F.lit("-"), F.count(F.lit(1)).cast("string"))
     return ranges.groupBy("path", "name").agg(
-        F.sum("length").alias("bytes"),
-        F.when(count == 1, F.max("md5")).otherwise(tree).alias("md5"),
-        *more,
+        F.sum("length").alias("bytes"), tree.alias("ranges_md5"), *more
     )
 
 
 def digest_objects(listing: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``(path, name, bytes, md5)`` from reading every byte once."""
+    """``(path, name, bytes, ranges_md5)`` from reading every byte once.
+
+    Two digests compare when they were taken with the same ``range_bytes``.
+    """
     ranges = byte_ranges(listing, range_bytes).select("path", "name", "offset", "length")
-    return _whole_digest(ranges.mapInPandas(_digest_ranges, _RANGE_DIGEST))
+    return _whole_digest(ranges.mapInPandas(_range_digester(range_bytes), _RANGE_DIGEST))
+
+
+def _plain_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        sums = []
+        for row in batch.itertuples(index=False):
+            digest = hashlib.md5()
+            with _open_input(row.path) as handle:
+                for piece in _pieces(handle, row.size):
+                    digest.update(piece)
+            sums.append(digest.hexdigest())
+        yield batch[["path", "name", "size"]].assign(md5=sums).rename(columns={"size": "bytes"})
+
+
+def plain_digests(listing: DataFrame) -> DataFrame:
+    """``(path, name, bytes, md5)``: the MD5 of each object as one stream, one task each."""
+    dealt = listing.select("path", "name", "size").repartition(segment_count(listing), "path")
+    return dealt.mapInPandas(_plain_digests, "path string, name string, bytes bigint, md5 string")
 
 
 # -- copying ----------------------------------------------------------------------
@@ -316,20 +371,24 @@ def _rename(path: str, target: str) -> None:
         store.move(inner, _store_of(target)[1])
 
 
-def _write_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Copy ranges to their place in the target; repeating one changes nothing."""
-    for batch in batches:
-        rows = []
-        for row in batch.itertuples(index=False):
-            digest = hashlib.md5()
-            with _open_input(row.path) as handle:
-                handle.seek(row.offset)
-                with _placed_writer(row.target, row.target_offset) as write:
-                    for piece in _pieces(handle, row.length):
-                        digest.update(piece)
-                        write(piece)
-            rows.append((row.path, row.name, row.target_offset, row.length, digest.hexdigest()))
-        yield pd.DataFrame(rows, columns=["path", "name", "offset", "length", "md5"])
+def _range_writer(range_bytes: int):
+    """Copies ranges to their place in the target; repeating one changes nothing."""
+
+    def write_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                digests = _RangeDigests(range_bytes, row.target_offset)
+                with _open_input(row.path) as handle:
+                    handle.seek(row.offset)
+                    with _placed_writer(row.target, row.target_offset) as write:
+                        for piece in _pieces(handle, row.length):
+                            digests.update(piece)
+                            write(piece)
+                rows += digests.rows(row.path, row.name)
+            yield pd.DataFrame(rows, columns=_DIGEST_COLUMNS)
+
+    return write_ranges
 
 
 def _compress_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -337,30 +396,33 @@ def _compress_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for row in batch.itertuples(index=False):
-            packer = bz2.BZ2Compressor()
+            packer, digest = bz2.BZ2Compressor(), hashlib.md5()
             with _open_input(row.path) as handle, _open_output(row.part) as out:
                 handle.seek(row.offset)
                 for piece in _pieces(handle, row.length):
+                    digest.update(piece)
                     out.write(packer.compress(piece))
                 out.write(packer.flush())
                 size = out.tell()
-            rows.append((row.part, row.name, row.target, row.offset, size))
-        yield pd.DataFrame(rows, columns=["path", "name", "target", "at", "length"])
+            rows.append((row.part, row.name, row.target, row.offset, size, digest.hexdigest()))
+        yield pd.DataFrame(rows, columns=["path", "name", "target", "at", "length", "plain_md5"])
 
 
-def _decompress_objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for row in batch.itertuples(index=False):
-            digest, size = hashlib.md5(), 0
-            with _open_input(row.path) as raw, bz2.open(raw, "rb") as handle:
-                with _open_output(row.target) as out:
-                    while piece := handle.read(BUFFER):
-                        out.write(piece)
-                        digest.update(piece)
-                        size += len(piece)
-            rows.append((row.path, row.name, 0, size, digest.hexdigest()))
-        yield pd.DataFrame(rows, columns=["path", "name", "offset", "length", "md5"])
+def _decompressor(range_bytes: int):
+    def decompress_objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                digests = _RangeDigests(range_bytes)
+                with _open_input(row.path) as raw, bz2.open(raw, "rb") as handle:
+                    with _open_output(row.target) as out:
+                        while piece := handle.read(BUFFER):
+                            out.write(piece)
+                            digests.update(piece)
+                rows += digests.rows(row.path, row.name)
+            yield pd.DataFrame(rows, columns=_DIGEST_COLUMNS)
+
+    return decompress_objects
 
 
 def _publish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -374,22 +436,39 @@ def _publish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 _rename(row.staged, row.dest)
             elif _size_of(row.dest) != row.bytes:  # else an earlier try renamed it
                 raise TransferError(f"{row.name}: nothing was written")
-        yield batch[["path", "name", "dest", "bytes", "md5"]]
+        yield batch[["path", "name", "dest", "bytes", "ranges_md5"]]
+
+
+def _qualified(spark: SparkSession, path: str, shared: bool) -> str:
+    """A destination with its scheme; a mount of a cluster must be declared shared."""
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        fs, handle = hadoop_path(spark, path)
+        path = handle.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    if _scheme_of(path) == "file" and not shared and not spark.sparkContext.master.startswith("local"):
+        raise TransferError(f"{path} may be another folder on every executor; say shared=True if not")
+    return path
 
 
 def copy_objects(
-    listing: DataFrame, dest: str, codec: str | None = None, range_bytes: int = RANGE_BYTES
+    listing: DataFrame,
+    dest: str,
+    codec: str | None = None,
+    range_bytes: int = RANGE_BYTES,
+    shared: bool = False,
 ) -> DataFrame:
     """Copy every object of a listing below ``dest``, byte for byte.
 
     ``codec`` is None, ``compress`` or ``decompress`` (bzip2). Objects are
     written under staging names and get their final ones only when whole. A
-    mount must be one all executors share. Returns
-    ``(path, name, dest, bytes, md5)``.
+    destination without a scheme is one of the default file system; on a cluster a
+    mount must be one that all executors share, and ``shared`` says so. Returns
+    ``(path, name, dest, bytes, ranges_md5)``; the digest is that of the plain bytes,
+    also where the copy is compressed, so all three forms compare.
     """
     if codec not in (None, "compress", "decompress"):
         raise ValueError(f"unknown codec: {codec}")
     spark = listing.sparkSession
+    dest = _qualified(spark, dest, shared)
     mounted = _scheme_of(dest) == "file"
     root = (_local(dest) if mounted else dest).rstrip("/")
     staging = f"{root}/.staging-{os.path.basename(scratch_path(spark, 'copy'))}"
@@ -408,17 +487,19 @@ def copy_objects(
     )
     if codec == "decompress":
         done = placed.repartition(segment_count(listing), "path").mapInPandas(
-            _decompress_objects, _RANGE_DIGEST
+            _decompressor(range_bytes), _RANGE_DIGEST
         )
     else:
-        ranges = byte_ranges(placed, range_bytes if mounted else _WHOLE)
+        # stores take no writes at an offset; what is packed is cut alike everywhere
+        ranges = byte_ranges(placed, range_bytes if mounted or codec else _WHOLE)
+        plain = None
         if codec == "compress":
-            ranges = _compressed(ranges)
+            ranges, plain = _compressed(ranges, mounted)
         else:
             ranges = ranges.withColumn("target_offset", F.col("offset"))
         done = ranges.select(
             "path", "name", "offset", "length", "target", "target_offset"
-        ).mapInPandas(_write_ranges, _RANGE_DIGEST)
+        ).mapInPandas(_range_writer(range_bytes) if mounted or plain is None else _laid_end_to_end, _RANGE_DIGEST)
     # written once, then published: a retry of the second step repeats no copy
     done = done.withColumn("staged", place(staging))
     if codec == "compress":
@@ -427,9 +508,12 @@ def copy_objects(
     whole = _whole_digest(written, F.max("staged").alias("staged")).withColumn(
         "dest", place(root)
     )
+    if codec == "compress":  # of what was packed, not of the packing
+        plain = _whole_digest(plain).select(F.col("path").alias("staged"), "ranges_md5")
+        whole = whole.drop("ranges_md5").join(plain, "staged")
     published = cut_lineage(
-        whole.select("path", "name", "staged", "dest", "bytes", "md5").mapInPandas(
-            _publish, "path string, name string, dest string, bytes bigint, md5 string"
+        whole.select("path", "name", "staged", "dest", "bytes", "ranges_md5").mapInPandas(
+            _publish, "path string, name string, dest string, bytes bigint, ranges_md5 string"
         ),
         "published",
     )
@@ -438,29 +522,60 @@ def copy_objects(
     return published
 
 
-def _compressed(ranges: DataFrame) -> DataFrame:
-    """Compress ranges to parts, then say where each part goes in its target."""
+def _laid_end_to_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One store object from all its parts, given in order as ``path``, one text per line."""
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples(index=False):
+            digests = _RangeDigests(_WHOLE)
+            with _open_output(row.target) as out:
+                for part in row.path.split("\n"):
+                    with _open_input(part) as handle:
+                        while piece := handle.read(BUFFER):
+                            out.write(piece)
+                            digests.update(bytes(piece))
+            rows += digests.rows(row.target, row.name)
+        yield pd.DataFrame(rows, columns=_DIGEST_COLUMNS)
+
+
+def _compressed(ranges: DataFrame, mounted: bool) -> tuple[DataFrame, DataFrame]:
+    """Compress ranges to parts, then say where each part goes in its target.
+
+    Also the digests of what was packed. A store has no writes at an offset, so there a
+    target gets all of its parts at once, in order.
+    """
     part = F.concat("target", F.lit(".part-"), F.col("offset").cast("string"))
     parts = cut_lineage(
         ranges.withColumn("part", part)
         .select("path", "name", "offset", "length", "part", "target")
         .mapInPandas(
             _compress_ranges,
-            "path string, name string, target string, at bigint, length bigint",
+            "path string, name string, target string, at bigint, length bigint, plain_md5 string",
         ),
         "packed",
     )
+    plain = parts.select(
+        F.col("target").alias("path"), "name", F.col("at").alias("offset"), "length",
+        F.col("plain_md5").alias("md5"),
+    )
+    zero = F.lit(0).cast("bigint")
+    if not mounted:
+        ordered = F.array_sort(F.collect_list(F.struct("at", "path")))
+        joined = F.array_join(F.transform(ordered, lambda p: p["path"]), "\n")
+        whole = parts.groupBy("name", "target").agg(joined.alias("path"), F.sum("length").alias("length"))
+        return whole.select("path", "name", zero.alias("offset"), "length", "target", zero.alias("target_offset")), plain
     earlier = (
         Window.partitionBy("name").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return parts.select(
+    placed = parts.select(
         "path",
         "name",
-        F.lit(0).cast("bigint").alias("offset"),
+        zero.alias("offset"),
         "length",
         "target",
         F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("target_offset"),
     )
+    return placed, plain
 
 
 # -- sinks ------------------------------------------------------------------------
@@ -472,14 +587,40 @@ def discard(df: DataFrame) -> int:
     return 0
 
 
+def write_objects(df: DataFrame, dest: str, shared: bool = False) -> DataFrame:
+    """Store each row's ``content`` as an object ``name`` below ``dest``; returns a listing.
+
+    ``(path, name, size)`` per object. A repeated row writes the same object again.
+    """
+    root = _qualified(df.sparkSession, dest, shared).rstrip("/")
+
+    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                with _open_output(row.path) as out:
+                    out.write(bytes(row.content))
+            yield batch[["path", "name"]].assign(size=[len(c) for c in batch["content"]])
+
+    rows = df.select(
+        F.concat(F.lit(root + "/"), "name").alias("path"), "name", F.col("content").cast("binary").alias("content")
+    )
+    return cut_lineage(rows.mapInPandas(store, "path string, name string, size bigint"), "stored")
+
+
 def publish_dataset(df: DataFrame, dest: str, file_format: str = "parquet", **options) -> None:
-    """Write beside the target, then give it its name, so no reader sees a part."""
+    """Write beside the target, then give it its name, so no reader sees a part.
+
+    Every call has a staging name of its own; what is there already is told first.
+    """
     spark = df.sparkSession
-    staged = f"{dest.rstrip('/')}.tmp"
+    fs, target = hadoop_path(spark, dest)
+    if fs.exists(target):
+        raise TransferError(f"already there: {dest}")
+    staged = f"{dest.rstrip('/')}.{uuid.uuid4().hex}.tmp"
     df.write.format(file_format).options(**options).mode("overwrite").save(staged)
-    fs, source = hadoop_path(spark, staged)
-    _, target = hadoop_path(spark, dest)
+    _, source = hadoop_path(spark, staged)
     if fs.exists(target):
+        fs.delete(source, True)
         raise TransferError(f"already there: {dest}")
     if not fs.rename(source, target):
         raise TransferError(f"cannot publish {dest}")

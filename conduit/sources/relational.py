@@ -6,6 +6,7 @@ numeric column so that no single connection carries a table.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -46,11 +47,19 @@ class Split:
 
 
 def read_options(
-    endpoint: Endpoint, source: str, split: Split | None = None, fetch_rows: int = FETCH_ROWS
+    endpoint: Endpoint,
+    source: str,
+    split: Split | None = None,
+    fetch_rows: int = FETCH_ROWS,
+    is_query: bool | None = None,
 ) -> dict[str, str]:
-    """Options of one read; ``source`` is a table name or a SELECT."""
+    """Options of one read; ``source`` is a table name or, by ``is_query``, a query.
+
+    Without ``is_query``, a text whose first word is SELECT or WITH is a query.
+    """
     options = endpoint.options() | {"fetchsize": str(fetch_rows)}
-    is_query = source.lstrip()[:6].lower() == "select"
+    if is_query is None:
+        is_query = re.match(r"\s*(?:select|with)\b", source, re.IGNORECASE) is not None
     if split is None:
         return options | {"query" if is_query else "dbtable": source}
     # Spark takes a split only with a table, so a query becomes a derived one

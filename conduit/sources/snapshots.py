@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from conduit.session import hadoop_path
@@ -17,8 +18,9 @@ class CommitConflict(RuntimeError):
 class SnapshotTable:
     """Snapshots below a folder; the newest commit file names the current one.
 
-    Data files are written first and a commit is one atomic rename, so a failed
-    batch leaves the table as it was, and readers keep the snapshot they opened.
+    Data files are written first, and a commit is one file that only one writer can
+    create, so a failed batch leaves the table as it was, and readers keep the snapshot
+    they opened.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -54,13 +56,15 @@ class SnapshotTable:
         base = self.version() if base is None else base
         name = f"data-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{name}")
-        _, draft = hadoop_path(self.spark, f"{self.path}/_commits/.{name}")
         _, commit = hadoop_path(self.spark, f"{self.path}/_commits/{base + 1:012d}")
-        stream = self._fs.create(draft, True)
+        try:  # creating without overwriting fails for all but one
+            stream = self._fs.create(commit, False)
+        except Py4JJavaError as taken:
+            if self._fs.exists(commit):
+                raise CommitConflict(f"version {base + 1} exists at {self.path}") from taken
+            raise
         stream.write(bytearray(name.encode()))
         stream.close()
-        if self._fs.exists(commit) or not self._fs.rename(draft, commit):
-            raise CommitConflict(f"version {base + 1} exists at {self.path}")
         return base + 1
 
     def transaction(self, *steps: Callable[[DataFrame], DataFrame]) -> int:

@@ -56,14 +56,14 @@ def test_name_filter(spark, tree):
 def digest_of(body, size):
     parts = [body[i : i + size] for i in range(0, len(body), size)] or [b""]
     sums = [hashlib.md5(p).digest() for p in parts]
-    return sums[0].hex() if len(sums) == 1 else f"{hashlib.md5(b''.join(sums)).hexdigest()}-{len(sums)}"
+    return f"{hashlib.md5(b''.join(sums)).hexdigest()}-{len(sums)}"
 
 
 @pytest.mark.parametrize("size", [100_000, objects.RANGE_BYTES])
 def test_digests(spark, tree, size):
     root, files = tree
     got = objects.digest_objects(objects.list_objects(spark, str(root)), size)
-    assert {r.name: (r.bytes, r.md5) for r in got.collect()} == {
+    assert {r.name: (r.bytes, r.ranges_md5) for r in got.collect()} == {
         name: (len(body), digest_of(body, size)) for name, body in files.items()
     }
 
@@ -127,6 +127,27 @@ def test_copy_to_an_object_store(spark, tree, tmp_path, monkeypatch, codec):
         assert (bz2.decompress(data) if codec else data) == body
 
 
+def test_all_forms_have_the_digest_of_the_plain_bytes(spark, tree, tmp_path):
+    root, files = tree
+    listing, size = objects.list_objects(spark, str(root)), 70_000
+    want = {name: digest_of(body, size) for name, body in files.items()}
+    packed = objects.copy_objects(listing, str(tmp_path / "p"), "compress", size)
+    opened = objects.copy_objects(objects.list_objects(spark, str(tmp_path / "p")), str(tmp_path / "o"), "decompress", size)
+    copied = objects.copy_objects(listing, str(tmp_path / "c"), range_bytes=size)
+    for got in (objects.digest_objects(listing, size), packed, copied):
+        assert {r.name: r.ranges_md5 for r in got.collect()} == want
+    assert {r.name.removesuffix(".bz2"): r.ranges_md5 for r in opened.collect()} == want
+    plain = {r.name: r.md5 for r in objects.plain_digests(listing).collect()}
+    assert plain == {name: hashlib.md5(body).hexdigest() for name, body in files.items()}
+
+
+def test_rows_become_objects(spark, tmp_path):
+    rows = spark.createDataFrame([("a/x.txt", b"one"), ("b.txt", b"")], "name string, content binary")
+    objects.write_objects(rows, str(tmp_path / "made"))
+    got = objects.list_objects(spark, str(tmp_path / "made"))
+    assert {r.name: r.size for r in got.collect()} == {"a/x.txt": 3, "b.txt": 0}
+
+
 def test_copy_onto_itself_is_refused(spark, tree):
     listing = objects.list_objects(spark, str(tree[0]))
     with pytest.raises(objects.TransferError):
