@@ -50,6 +50,19 @@ _ACTION = (
 PENDING, FAILED, TIMED_OUT = -1, -2, -3
 
 
+@dataclass(frozen=True)
+class Conditions:
+    """Patterns of the lines that decide on a response, each matched whole.
+
+    ``success`` captures the return code, ``error`` is a failure, and the response ends
+    with it or with ``breaks``.
+    """
+
+    success: str = _RETURN_CODE
+    error: str = _ERROR
+    breaks: str = _END
+
+
 def _last(lines: Column, pattern: str) -> Column:
     """The capture of the last line that matches, or ""; lines end in a newline."""
     return F.regexp_extract(lines, rf"(?s)\A(?:.*\n)?{pattern}\n", 1)
@@ -60,11 +73,11 @@ def _bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)
 
 
-def response_lines(text: Column) -> Column:
+def response_lines(text: Column, conditions: Conditions = Conditions()) -> Column:
     """One-element array: the lines longer than one character, up to the end mark or error."""
 
     def cut(lines: Column) -> Column:
-        closing = rf"\A(?:{_END}|{_ERROR})\z"
+        closing = rf"\A(?:{conditions.breaks}|{conditions.error})\z"
         closes = F.transform(lines, lambda line: line.rlike(closing))
         stop = _bound(
             F.array_position(closes, True).cast("int"),
@@ -75,29 +88,31 @@ def response_lines(text: Column) -> Column:
     return _bound(F.filter(split_lines(text), lambda line: F.length(line) > 1), cut)
 
 
-def parse_responses(df: DataFrame, column: str, timeout: bool = True) -> DataFrame:
+def parse_responses(
+    df: DataFrame, column: str, timeout: bool = True, conditions: Conditions = Conditions()
+) -> DataFrame:
     """Subscriber columns and ``retcode`` of one response text per row.
 
     ``retcode`` is the last return code, -2 after ``ERROR``; a response that
     never closes is -3 when calls had a ``timeout``, else what was read so far.
     """
     # a generator, so the optimiser cannot repeat the split in every column
-    staged = df.withColumn("_lines", F.explode(response_lines(F.col(f"`{column}`"))))
+    staged = df.withColumn("_lines", F.explode(response_lines(F.col(f"`{column}`"), conditions)))
     staged = staged.withColumn("_lines", F.concat(F.array_join("_lines", "\n"), F.lit("\n")))
     lines = F.col("_lines")
     kept = [F.col(f"`{c}`") for c in df.columns if c != column]
     found = {
-        "code": _RETURN_CODE, "imsi": _IMSI, "imei": _IMEI, "vlr": _VLR, "cell": _CELL,
+        "code": conditions.success, "imsi": _IMSI, "imei": _IMEI, "vlr": _VLR, "cell": _CELL,
         "action": _ACTION,
     }
     raw = staged.select(
         *kept,
         *[_last(lines, pattern).alias(f"_{name}") for name, pattern in found.items()],
-        lines.rlike(rf"(?:\A|\n){_ERROR}\n\z").alias("_failed"),
-        lines.rlike(rf"(?:\A|\n){_END}\n\z").alias("_closed"),
+        lines.rlike(rf"(?:\A|\n)(?:{conditions.error})\n\z").alias("_failed"),
+        lines.rlike(rf"(?:\A|\n)(?:{conditions.breaks})\n\z").alias("_closed"),
     )
     given = {name: F.nullif(F.col(f"_{name}"), F.lit("")) for name in found}
-    code = F.coalesce(given["code"].cast("int"), F.lit(PENDING))
+    code = F.coalesce(given["code"].try_cast("int"), F.lit(PENDING))
     return raw.select(
         *kept,
         F.when(F.col("_failed"), F.lit(FAILED))

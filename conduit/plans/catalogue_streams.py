@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conduit.functions.network import change_names
 from conduit.operators.lookups import Topic, split_changes
@@ -105,7 +106,8 @@ def stm04_dispatch(spark, folder):
     handlers = {t.name: store(t.name) for t in topics}
     dispatch = feeds.dispatcher(topics, handlers, "event_type")
     runs.start(_events(spark, folder), dispatch).awaitTermination()
-    return spark.read.parquet(path).select("topic", "event_id")
+    kind = T.StructType.fromDDL("event_id bigint, topic string, batch bigint")
+    return runs.read_parts(spark, path, kind).select("topic", "event_id")
 
 
 @query("SELECT event_type, count(*) AS records FROM events GROUP BY event_type")
@@ -119,7 +121,11 @@ def stm05_once(spark, folder):
 
 @query("SELECT count(*) AS records, CAST(sum(event_id) AS BIGINT) AS checksum FROM events")
 def stm06_rate_limit(spark, folder):
-    stream = _events(spark, folder, files_per_trigger=1).select("event_id")
+    # a topic of several files, so that the limit makes several batches
+    path = scratch_path(spark, "topic")
+    events = table(spark, folder, "events").select("event_id")
+    events.repartition(6, "event_id").write.parquet(path)
+    stream = replay(spark, path, events.schema, files_per_trigger=2)
     rows = runs.materialise(stream, "limited")
     return rows.agg(
         F.count(F.lit(1)).alias("records"), F.sum("event_id").alias("checksum")
@@ -169,16 +175,17 @@ _HASHES_SQL = f"SELECT CAST(key AS VARCHAR) AS key, field, value, expire_at FROM
 @query(_HASHES_SQL)
 def stm10_batch_folds(spark, folder):
     path = scratch_path(spark, "folded")
-    runs.start(_operations(spark, folder), state.batch_folder(path)).awaitTermination()
+    ops = _operations(spark, folder, files_per_trigger=5)
+    runs.start(ops, state.store_operations(path)).awaitTermination()
     return state.folded_values(spark, path, LOG_AS_OF)
 
 
 @query(_HASHES_SQL)
 def stm10_live_hashes(spark, folder):
-    # each key of a micro-batch is folded in one place, so batches are kept small
+    path = scratch_path(spark, "hashes")
     ops = _operations(spark, folder, files_per_trigger=4)
-    updates = runs.materialise(state.live_hashes(ops), "hashes", "update")
-    return state.live_values(runs.latest(updates, ["key"]), LOG_AS_OF)
+    runs.start(ops, state.live_hashes(path)).awaitTermination()
+    return state.live_values(spark, path, LOG_AS_OF)
 
 
 @query("""

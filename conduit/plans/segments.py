@@ -23,10 +23,18 @@ ORD = "_ord"
 _SHIFT = 33  # monotonically_increasing_id keeps the row position in 33 bits
 
 
+# Bytes that a segment is meant to hold; a frame's size is Spark's own estimate.
+SEGMENT_BYTES = 256 * 1024 * 1024
+
+
 def segment_count(df: DataFrame) -> int:
+    """As many segments as the frame's bytes ask for, and enough to keep all cores busy."""
     spark = df.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, spark.sparkContext.defaultParallelism)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # a plan of unknown size is estimated as huge: then the session's number holds
+    asked = -(-size // SEGMENT_BYTES) if size < 2**60 else 0
+    return max(shuffle, spark.sparkContext.defaultParallelism, asked)
 
 
 def ordered_segments(

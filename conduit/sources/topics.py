@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +11,8 @@ from pyspark.sql import types as T
 
 from conduit.session import hadoop_path
 
-# Records per poll, and milliseconds between polls.
+# Fixed value: records per poll, unless a subscription says otherwise.
 RECORDS_PER_POLL = 128
-POLL_INTERVAL_MS = 250
 
 
 @dataclass(frozen=True)
@@ -22,7 +22,7 @@ class TopicSpec:
     servers: str
     topics: tuple[str, ...]
     starting: str = "latest"
-    max_records: int | None = None
+    max_records: int | None = RECORDS_PER_POLL
     options: dict[str, str] = field(default_factory=dict)
 
     def reader_options(self) -> dict[str, str]:
@@ -41,6 +41,28 @@ def subscribe(spark: SparkSession, spec: TopicSpec, source_format: str = "kafka"
     return spark.readStream.format(source_format).options(**spec.reader_options()).load()
 
 
+def present_topics(wanted: Sequence[str], existing: Iterable[str]) -> tuple[str, ...]:
+    """The wanted topics that exist; missing ones are skipped, but not all of them."""
+    known = set(existing)
+    found = tuple(topic for topic in wanted if topic in known)
+    if not found:
+        raise LookupError(f"no such topic: {', '.join(wanted)}")
+    return found
+
+
+# Bytes before an Avro value that name its schema: a zero and a number of four bytes.
+AVRO_HEADER = 5
+
+
+def decode_avro(records: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """Typed rows of Avro records, by Spark's own Avro module, which must be on the class path."""
+    from pyspark.sql.avro.functions import from_avro
+
+    body = F.substr(F.col(value), F.lit(AVRO_HEADER + 1))
+    row = from_avro(body, schema, {"mode": "PERMISSIVE"})
+    return records.select(row.alias("_row")).filter(F.col("_row").isNotNull()).select("_row.*")
+
+
 def decode_json(records: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Typed rows of JSON records; a record that does not decode is skipped."""
     corrupt = "_corrupt"

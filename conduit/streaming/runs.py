@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from conduit.session import scratch_path
+from conduit.session import hadoop_path, scratch_path
 
 
 def start(
@@ -17,14 +17,20 @@ def start(
     handle: Callable[[DataFrame, int], None],
     checkpoint: str | None = None,
     mode: str = "append",
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Process what is there now in micro-batches; restarts at the checkpoint."""
+    """Process what is there now in micro-batches; restarts at the checkpoint.
+
+    With ``every``, an interval such as ``250 milliseconds``, the query goes on and looks
+    for new records that often until it is stopped.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     checkpoint = checkpoint or scratch_path(stream.sparkSession, "checkpoint")
     return (
         stream.writeStream.outputMode(mode)
         .foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -40,8 +46,53 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 def read_batches(spark, path: str, schema: T.StructType) -> DataFrame:
     """Everything written by :func:`batch_writer`, with its ``batch`` number."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-                             ).parquet(path)
+    return read_parts(spark, path, T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
+
+
+def read_parts(spark, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet below a folder, folder names as columns; no rows where nothing was written."""
+    fs, handle = hadoop_path(spark, path)
+    if not fs.exists(handle):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+class Subscription:
+    """A stream that runs until it is stopped; guards its own order of calls."""
+
+    def __init__(self, every: str = "250 milliseconds"):
+        self.every = every
+        self._stream: DataFrame | None = None
+        self._handle: Callable[[DataFrame, int], None] | None = None
+        self._query: StreamingQuery | None = None
+        self._delivered = 0
+
+    def subscribe(self, stream: DataFrame, handle: Callable[[DataFrame, int], None]) -> None:
+        if self._query is not None:
+            raise RuntimeError("already started")
+        self._stream, self._handle = stream, handle
+
+    def start(self, checkpoint: str | None = None) -> StreamingQuery:
+        """Begin to deliver; a second start, or one without a subscription, raises."""
+        if self._stream is None:
+            raise RuntimeError("nothing is subscribed")
+        if self._query is not None:
+            raise RuntimeError("already started")
+        self._query = start(self._stream, self._handle, checkpoint, every=self.every)
+        return self._query
+
+    def delivered(self) -> int:
+        """Rows read so far, from the progress of the batches that Spark still knows."""
+        if self._query is None:
+            return self._delivered
+        return sum(p["numInputRows"] for p in self._query.recentProgress)
+
+    def stop(self) -> None:
+        """Stop after the batch at hand; stopping what does not run does nothing."""
+        if self._query is not None:
+            self._query.stop()
+            self._delivered = self.delivered()
+            self._query = None
 
 
 def materialise(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:

@@ -1,179 +1,157 @@
-"""Live hashes: the op-log fold with state kept between micro-batches.
-
-Two forms with equal results. :func:`live_hashes` keeps state in the state
-store and folds each key of a small, rate-limited micro-batch in one place.
-:func:`batch_folder` folds a micro-batch of any size as a distributed job, so a
-hot key is spread out, and rewrites the whole state for it.
+"""Live hashes: the op-log fold kept up to date by a stream.
+
+The state below a folder is the log itself: each micro-batch adds its operations under
+its own number, so files may arrive in any order and in any number of batches, and a
+repeated batch replaces its own part. What a key holds is always the distributed fold of
+its operations in the order of their times, however late one came, so a hot key is
+spread out and nothing is dropped. :func:`compact` folds the past into a base; only what
+arrives behind a base's clock can no longer be placed, and goes to a frame of its own.
 """
 
 from __future__ import annotations
 
-import json
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
 
 from conduit.operators.counters import alive
 from conduit.operators.oplog import fold_log
 from conduit.session import hadoop_path
+from conduit.streaming.runs import read_parts
 
-_STATE = "fields string, deadline bigint, us bigint"
-_MICROS = 1_000_000
-
-
-class LiveHash:
-    """Fields and deadline of one key; operations arrive in time order."""
-
-    def __init__(self, fields: dict[str, int] | None = None, deadline: int | None = None):
-        self.fields = fields or {}
-        self.deadline = deadline
-
-    def expire(self, now: int) -> None:
-        if self.deadline is not None and self.deadline <= now:
-            self.fields, self.deadline = {}, None
-
-    def apply(self, op: str, us: int, field: str | None, amount: int) -> None:
-        self.expire(us)
-        if op == "hset":
-            self.fields[field] = amount
-        elif op == "hincrby":
-            self.fields[field] = self.fields.get(field, 0) + amount
-        elif op == "del" or (op == "expire" and amount <= 0):
-            self.fields, self.deadline = {}, None
-        elif self.fields:
-            self.deadline = us + amount * _MICROS
-
-
-def _step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    held, deadline, last = state.get if state.exists else ("{}", None, 0)
-    live = LiveHash(json.loads(held), deadline)
-    if state.hasTimedOut:
-        live, last = LiveHash(), deadline or last
-        state.remove()
-    else:
-        frames = list(chunks)  # one key of one rate-limited micro-batch
-        ops = pd.concat(frames).sort_values(["us", "seq"], kind="stable")
-        for op, us, field, amount in zip(ops["op"], ops["us"], ops["field"], ops["amount"]):
-            live.apply(op, int(us), field, int(amount) if pd.notna(amount) else 0)
-        last = max(last, int(ops["us"].iloc[-1]))
-        state.update((json.dumps(live.fields), live.deadline, last))
-        if live.deadline is not None:
-            wake = -(-live.deadline // 1000)
-            state.setTimeoutTimestamp(max(wake, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame(
-        {
-            "key": [str(key[0])],
-            "fields": [json.dumps(live.fields)],
-            "deadline": pd.array([live.deadline], dtype="Int64"),
-            "us": [last],
-        }
-    )
-
-
-def live_hashes(ops: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Update-mode stream ``(key, fields, deadline, us)``: each key after its batch.
-
-    ``ops`` has ``key`` (text), ``ts``, ``seq``, ``op``, ``field`` and ``amount``
-    as in the batch fold. Expired keys leave the state through event-time
-    timeouts. The source must limit its micro-batches.
-    """
-    timed = ops.withWatermark("ts", delay).withColumn("us", F.unix_micros("ts"))
-    return timed.groupBy("key").applyInPandasWithState(
-        _step,
-        "key string, fields string, deadline bigint, us bigint",
-        _STATE,
-        "update",
-        GroupStateTimeout.EventTimeTimeout,
-    )
-
-
-def live_values(states: DataFrame, as_of) -> DataFrame:
-    """``(key, field, value, expire_at)`` of the states still alive at a moment."""
-    now = F.unix_micros(F.lit(as_of).cast("timestamp"))
-    kept = states.filter(F.col("deadline").isNull() | (F.col("deadline") > now))
-    fields = F.from_json("fields", "map<string,bigint>")
-    return kept.select(
-        "key",
-        F.explode(fields).alias("field", "value"),
-        F.timestamp_micros("deadline").cast("timestamp_ntz").alias("expire_at"),
-    )
-
-
-def batch_folder(path: str, ts: str = "ts", seq: str = "seq"):
-    """``foreachBatch`` function that folds each batch into the state below ``path``.
-
-    Operations of a batch are ordered by time; one that is older than an earlier
-    batch counts as arriving now. A repeated batch replaces its own result.
+_TEXT, _NUMBER = T.StringType(), T.LongType()
+
+
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+_OPS = _struct(
+    key=_TEXT, ts=T.TimestampType(), seq=_NUMBER, op=_TEXT, field=_TEXT, amount=_NUMBER, batch=_NUMBER
+)
+_HELD = _struct(key=_TEXT, field=_TEXT, value=_NUMBER, expire_at=T.TimestampNTZType())
+_UPDATES = T.StructType([*_HELD.fields, T.StructField("batch", _NUMBER)])
+
+
+def store_operations(path: str, ts: str = "ts", seq: str = "seq"):
+    """``foreachBatch`` function that adds each batch's operations to the log below ``path``.
+
+    Operations at or before the clock of a base go to ``late`` beside it.
     """
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         ops = batch.select(
-            "key", F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(seq).alias("seq"),
-            "op", "field", F.col("amount").cast("bigint").alias("amount"),
+            F.col("key").cast("string").alias("key"), F.col(ts).cast("timestamp").alias("ts"),
+            F.col(seq).cast("bigint").alias("seq"), "op", "field",
+            F.col("amount").cast("bigint").alias("amount"),
         )
-        newest = ops.agg(F.max("ts")).first()[0]
+        clock = _clock(spark, path)
+        if clock is not None:
+            behind = F.unix_micros("ts") <= clock
+            ops.where(behind).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            ops = ops.where(~behind)
+        ops.write.mode("overwrite").parquet(f"{path}/ops/batch={batch_id}")
+
+    return store
+
+
+def live_hashes(path: str, ts: str = "ts", seq: str = "seq"):
+    """``foreachBatch`` function that also tells what the keys a batch touched now hold.
+
+    ``updates/batch=N`` gets ``(key, field, value, expire_at)`` of those keys, and one row
+    without a field for a key that holds nothing any more. Only they are folded again.
+    """
+    store = store_operations(path, ts, seq)
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        store(batch, batch_id)
+        log = operations(spark, path)
+        touched = log.where(F.col("batch") == batch_id).select("key").distinct()
+        mine = log.join(touched, "key", "left_semi").drop("batch")
+        newest = mine.agg(F.max("ts")).first()[0]
         if newest is None:
             return
-        before = _versions(spark, path, batch_id)
-        clock = newest
-        if before:
-            state = spark.read.parquet(f"{path}/batch={before[-1]}")
-            held = state.agg(F.max("clock")).first()[0]
-            if held is not None:
-                clock = max(clock, held)
-                ops = ops.withColumn("ts", F.greatest("ts", F.lit(held)))
-                ops = _as_operations(state).unionByName(ops)
-        folded = fold_log(ops, ["key"], clock).withColumn("clock", F.lit(clock))
-        folded.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        held = fold_log(mine, ["key"], newest)
+        out = touched.join(held, "key", "left").select(*_HELD.names)
+        out.write.mode("overwrite").parquet(f"{path}/updates/batch={batch_id}")
 
     return fold
 
 
-def _versions(spark, path: str, below: int | None = None) -> list[int]:
-    """Finished batches, oldest first."""
-    fs, root = hadoop_path(spark, path)
+def operations(spark, path: str) -> DataFrame:
+    """All operations of the log, with the batch each came in; a base comes in none."""
+    log = read_parts(spark, f"{path}/ops", _OPS)
+    clock = _clock(spark, path)
+    if clock is None:
+        return log
+    base = spark.read.schema(_HELD).parquet(f"{path}/base/clock={clock}")
+    kept = log.where(F.unix_micros("ts") > clock)
+    return kept.unionByName(_as_operations(base, clock).withColumn("batch", F.lit(None).cast("bigint")))
+
+
+def late_operations(spark, path: str) -> DataFrame:
+    """Operations that came behind a base's clock, by batch."""
+    return read_parts(spark, f"{path}/late", _OPS)
+
+
+def folded_values(spark, path: str, as_of) -> DataFrame:
+    """``(key, field, value, expire_at)`` alive at a moment after a base's clock."""
+    return fold_log(operations(spark, path).drop("batch"), ["key"], as_of).select(*_HELD.names)
+
+
+def live_values(spark, path: str, as_of) -> DataFrame:
+    """The same from the newest update of each key, at a moment after the last operation."""
+    updates = read_parts(spark, f"{path}/updates", _UPDATES)
+    newest = updates.groupBy("key").agg(F.max("batch").alias("batch"))
+    held = updates.join(newest, ["key", "batch"], "left_semi").where(F.col("field").isNotNull())
+    return alive(held, F.lit(as_of).cast("timestamp_ntz")).select(*_HELD.names)
+
+
+def compact(spark, path: str, until) -> None:
+    """Fold all up to a moment into a base, and delete the batches it covers whole.
+
+    Not while a stream writes to the log.
+    """
+    clock = spark.range(1).select(F.unix_micros(F.lit(until).cast("timestamp"))).first()[0]
+    folded_values(spark, path, until).write.mode("overwrite").parquet(f"{path}/base/clock={clock}")
+    log = read_parts(spark, f"{path}/ops", _OPS)
+    last = log.groupBy("batch").agg(F.max(F.unix_micros("ts")).alias("last"))
+    for row in last.where(F.col("last") <= clock).toLocalIterator():
+        fs, part = hadoop_path(spark, f"{path}/ops/batch={row['batch']}")
+        fs.delete(part, True)
+    fs, root = hadoop_path(spark, f"{path}/base")
+    for status in fs.listStatus(root):
+        if status.getPath().getName() != f"clock={clock}":
+            fs.delete(status.getPath(), True)
+
+
+def _clock(spark, path: str) -> int | None:
+    """Microseconds of the newest finished base."""
+    fs, root = hadoop_path(spark, f"{path}/base")
     if not fs.exists(root):
-        return []
+        return None
     found = []
     for status in fs.listStatus(root):
         _, done = hadoop_path(spark, f"{status.getPath().toString()}/_SUCCESS")
         if fs.exists(done):
-            found.append(int(status.getPath().getName().removeprefix("batch=")))
-    return sorted(v for v in found if below is None or v < below)
+            found.append(int(status.getPath().getName().removeprefix("clock=")))
+    return max(found, default=None)
 
 
-def _as_operations(state: DataFrame) -> DataFrame:
+def _as_operations(state: DataFrame, clock: int) -> DataFrame:
     """Operations that rebuild a state: its values, then its deadlines."""
+    moment = F.timestamp_micros(F.lit(clock))
     values = state.select(
-        "key", F.col("clock").alias("ts"), F.lit(-2).cast("bigint").alias("seq"),
+        "key", moment.alias("ts"), F.lit(-2).cast("bigint").alias("seq"),
         F.lit("hset").alias("op"), "field", F.col("value").alias("amount"),
     )
     ends = F.unix_micros(F.max("expire_at").cast("timestamp"))
-    deadlines = (
-        state.filter(F.col("expire_at").isNotNull())
-        .groupBy("key")
-        .agg(F.max("clock").alias("ts"), ends.alias("amount"))
-    )
+    deadlines = state.filter(F.col("expire_at").isNotNull()).groupBy("key").agg(ends.alias("amount"))
     return values.unionByName(
         deadlines.select(
-            "key", "ts", F.lit(-1).cast("bigint").alias("seq"), F.lit("expireat").alias("op"),
-            F.lit(None).cast("string").alias("field"), "amount",
+            "key", moment.alias("ts"), F.lit(-1).cast("bigint").alias("seq"),
+            F.lit("expireat").alias("op"), F.lit(None).cast("string").alias("field"), "amount",
         )
     )
-
-
-def folded_values(spark, path: str, as_of) -> DataFrame:
-    """``(key, field, value, expire_at)`` alive at a moment after the last batch."""
-    state = spark.read.parquet(f"{path}/batch={_versions(spark, path)[-1]}")
-    moment = F.lit(as_of).cast("timestamp_ntz")
-    return alive(state, moment).select("key", "field", "value", "expire_at")
-
-
-# Executors need no copy of this package: its task functions travel by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

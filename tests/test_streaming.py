@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conduit.operators.lookups import Topic
-from conduit.sources.topics import TopicSpec, decode_json, replay, shard_envelope
-from conduit.streaming import feeds, runs
+from conduit.plans import catalogue
+from conduit.sources.topics import TopicSpec, decode_json, present_topics, replay, shard_envelope
+from conduit.streaming import feeds, runs, state
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -144,3 +145,78 @@ def test_broker_options():
         "kafka.bootstrap.servers": "host:9092", "subscribe": "one,two",
         "startingOffsets": "latest", "maxOffsetsPerTrigger": "128",
     }
+
+
+@pytest.fixture(scope="module")
+def scattered(spark, folder, tmp_path_factory):
+    """The events table as 12 files in no order of time."""
+    root = tmp_path_factory.mktemp("scattered")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    events.repartition(12, F.xxhash64("event_id")).write.parquet(str(root / "events.parquet"))
+    return str(root)
+
+
+@pytest.mark.parametrize("name", ["stm10_live_hashes", "stm10_batch_folds"])
+def test_hashes_for_any_file_layout(spark, folder, scattered, name):
+    want = {(str(r.key), r.field, r.value, r.expire_at) for r in catalogue.QUERIES["agg09_expiring_log_fold"](spark, folder).collect()}
+    got = [tuple(r) for r in catalogue.QUERIES[name](spark, scattered).select("key", "field", "value", "expire_at").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+@pytest.mark.parametrize("name", ["stm05_once", "stm08_hourly_counters", "stm09_live_statistics", "stm11_throughput", "stm06_rate_limit"])
+def test_streams_for_any_file_layout(spark, folder, scattered, name):
+    rows = [sorted(map(str, catalogue.QUERIES[name](spark, where).collect())) for where in (folder, scattered)]
+    assert rows[0] == rows[1]
+
+
+def test_emptied_keys_and_late_operations(spark, tmp_path):
+    path = str(tmp_path / "state")
+    fold = state.live_hashes(path)
+    at = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
+    schema = "key string, ts timestamp, seq long, op string, field string, amount long"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    fold(frame([("a", at(1), 1, "hset", "x", 1), ("b", at(2), 2, "hset", "x", 7)]), 0)
+    fold(frame([("a", at(5), 3, "del", None, None)]), 1)
+    fold(frame([("b", at(1), 0, "hincrby", "y", 4)]), 2)  # older than all of its key
+    fold(frame([]), 3)
+    rows = lambda df: sorted((r.key, r.field, r.value) for r in df.collect())
+    assert rows(state.live_values(spark, path, at(9))) == [("b", "x", 7), ("b", "y", 4)]
+    state.compact(spark, path, at(5))
+    fold(frame([("b", at(3), 5, "hset", "x", 1), ("b", at(7), 6, "hincrby", "x", 1)]), 4)
+    assert rows(state.folded_values(spark, path, at(9))) == [("b", "x", 8), ("b", "y", 4)]
+    assert [(r.key, r.amount) for r in state.late_operations(spark, path).collect()] == [("b", 1)]
+
+
+def test_empty_streams(spark, folder, tmp_path):
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stm01_topic_replay", "stm04_dispatch", "stm05_once", "stm10_batch_folds", "stm10_live_hashes"):
+        assert catalogue.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+def test_subscription_guards(spark, topic):
+    seen = []
+    run = runs.Subscription("100 milliseconds")
+    with pytest.raises(RuntimeError):
+        run.start()
+    run.subscribe(stream(spark, topic), lambda rows, batch_id: seen.append(rows.count()))
+    query = run.start()
+    with pytest.raises(RuntimeError):
+        run.start()
+    query.processAllAvailable()
+    assert run.delivered() == 40 == sum(seen)
+    run.stop()
+    run.stop()
+    assert run.delivered() == 40
+    assert present_topics(("a", "b"), ["b", "c"]) == ("b",)
+    with pytest.raises(LookupError):
+        present_topics(("a",), [])
+
+
+def test_segments_follow_the_size(spark, folder, monkeypatch):
+    from conduit.plans import segments
+
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    few = segments.segment_count(events)
+    monkeypatch.setattr(segments, "SEGMENT_BYTES", 100)
+    assert segments.segment_count(events) > 4 * few
