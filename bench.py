@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from conduit.plans import catalogue  # noqa: E402
+from conduit.session import release_scratch  # noqa: E402
 
 HEADLINE = (
     "hourly_counters_by_predicate",
@@ -81,6 +82,7 @@ def main() -> None:
         run(spark, name, folder)
         seconds[name] = round(statistics.median(run(spark, name, folder) for _ in range(runs)), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    release_scratch(spark)
     spark.stop()
     print(
         json.dumps(

@@ -73,15 +73,14 @@ def uuid() -> Column:
 
 def to_little_endian(value: Column, size: int = 8) -> Column:
     """Unsigned integer as little-endian bytes."""
-    return F.unhex(_reversed_pairs(F.lpad(F.hex(value.cast("bigint")), size * 2, "0")))
+    return F.unhex(_reversed_pairs(F.lpad(F.hex(value.cast("bigint")), size * 2, "0"), size))
 
 
 def from_little_endian(value: Column) -> Column:
-    """Little-endian bytes as a bigint."""
-    return F.conv(_reversed_pairs(F.hex(value)), 16, -10).cast("bigint")
+    """At most eight little-endian bytes as a bigint; from 2^63 on, its two's complement."""
+    return F.conv(_reversed_pairs(F.hex(value), 8), 16, -10).cast("bigint")
 
 
-def _reversed_pairs(digits: Column) -> Column:
-    return F.array_join(
-        F.reverse(F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))), ""
-    )
+def _reversed_pairs(digits: Column, size: int) -> Column:
+    """Up to ``size`` pairs of digits in reverse order."""
+    return F.concat(*[F.substring(digits, 2 * at + 1, 2) for at in reversed(range(size))])

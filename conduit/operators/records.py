@@ -170,26 +170,21 @@ def to_text_row(df: DataFrame) -> Column:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """``(position, name, type, rows, filled)``: schema and how far it is filled.
+    """``(position, name, type)`` from the schema alone, in the six normalised types."""
+    rows = [(at, f.name, six_type_name(f.dataType)) for at, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, name string, type string")
 
-    One aggregate pass; the type is one of the six normalised types.
-    """
+
+def fill_counts(df: DataFrame) -> DataFrame:
+    """``(name, rows, filled)``: how far each column is filled, from one pass."""
     fields = df.schema.fields
     counts = [F.count(F.col(f"`{f.name}`")).alias(f"c{at}") for at, f in enumerate(fields)]
     totals = df.agg(F.count(F.lit(1)).alias("rows"), *counts)
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(at).alias("position"),
-                F.lit(f.name).alias("name"),
-                F.lit(six_type_name(f.dataType)).alias("type"),
-                F.col("rows"),
-                F.col(f"c{at}").alias("filled"),
-            )
-            for at, f in enumerate(fields)
-        ]
-    )
-    return totals.select(F.inline(lines))
+    lines = [
+        F.struct(F.lit(f.name).alias("name"), F.col("rows"), F.col(f"c{at}").alias("filled"))
+        for at, f in enumerate(fields)
+    ]
+    return totals.select(F.inline(F.array(*lines)))
 
 
 def with_source(df: DataFrame, source: str) -> DataFrame:

@@ -163,7 +163,9 @@ _LINEITEM_TYPES = {
     )
 )
 def rec10_describe(spark, folder):
-    return records.describe(table(spark, folder, "lineitem"))
+    lineitem = table(spark, folder, "lineitem")
+    filled = records.fill_counts(lineitem)
+    return records.describe(lineitem).join(filled, "name").select("position", "name", "type", "rows", "filled")
 
 
 @query("SELECT event_type AS kind, count(*) AS n, 'events' AS source FROM events GROUP BY 1")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conduit.functions.network import change_names
-from conduit.operators.lookups import Topic, split_changes
+from conduit.operators.lookups import Topic, change_fate
 from conduit.plans.catalogue_keys import (
     CHANGES_SQL,
     EXPIRING_FOLD_SQL,
@@ -77,12 +77,10 @@ def stm03_change_feed(spark, folder):
         stream.select("event_id", rowid.alias("rowid"), code.alias("row_op"))
     )
     kept = runs.materialise(changes, "changes")
-    tagged = None
-    for fate, rows in split_changes(kept).items():
-        part = rows.select(
-            F.lit(fate).alias("fate"), F.array_join(change_names(F.col("row_op")), ",").alias("change")
-        )
-        tagged = part if tagged is None else tagged.unionByName(part)
+    tagged = kept.select(
+        change_fate(F.col("rowid")).alias("fate"),
+        F.array_join(change_names(F.col("row_op")), ",").alias("change"),
+    )
     return tagged.groupBy("fate", "change").agg(F.count(F.lit(1)).alias("changes"))
 
 

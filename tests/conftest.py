@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from conduit.session import tune  # noqa: E402
+from conduit.session import release_scratch, tune  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    release_scratch(session)
     session.stop()
 
 
