@@ -346,7 +346,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     ship(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     low = importance(pages).where(F.col("importance") < LOW)
-    low = low.groupBy(F.col("host").alias("site")).agg(F.collect_set("style").alias("low"))
+    # written, so that a few sites are broadcast and many are a side that can be split
+    low = cut_lineage(low.groupBy(F.col("host").alias("site")).agg(F.collect_set("style").alias("low")), "low")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.join(low, host == F.col("site"), "left").select("page_id", "url", "html", "low")
     return rows.mapInArrow(_text_batches, "page_id long, url string, text string, n_chars long")
