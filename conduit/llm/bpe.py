@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 _NEVER = np.int32(2**31 - 1)
 _LONG = 40  # symbols of a pre-token beyond which a heap does the merging
 _PLAIN = regex.compile(r"[ -~\xa1-\xac\xae-ɏ]+")
-_KNOWN = 500_000  # chunks that a worker remembers at once
+_KNOWN = 200_000  # chunks that a worker remembers at once
 
 
 def _byte_letters() -> dict[int, str]:
@@ -170,7 +170,7 @@ class ChunkNames:
     def __init__(self):
         draw = np.random.default_rng(11)
         self.letter = draw.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self._powers(1 << 21)
+        self._powers((1 << 20) + (1 << 17))
 
     def _powers(self, n: int) -> None:
         with np.errstate(over="ignore"):
@@ -180,7 +180,7 @@ class ChunkNames:
 
     def of(self, code: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         if len(code) > len(self.up):
-            self._powers(2 * len(code))
+            self._powers(len(code) + len(code) // 2)
         with np.errstate(over="ignore"):
             parts = self.letter[code] * self.up[: len(code)]
             total = np.r_[np.zeros(1, np.uint64), np.cumsum(parts, dtype=np.uint64)]
@@ -192,26 +192,27 @@ class ChunkTable:
     """Ids of texts by their chunks, each distinct chunk encoded once.
 
     A subclass says how texts fall into chunks (``_chunks``) and encodes new ones
-    (``_learn``, which calls ``_add``). The table is dropped when it is full.
+    (``_learn``, which calls ``_add``). The table is dropped when it is full, and by
+    ``forget`` at the end of a task, so an idle worker holds none.
     """
 
     def __init__(self):
         self.names = ChunkNames()
-        self._forget()
+        self.forget()
 
-    def _forget(self):
+    def forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.begin, self.count = np.zeros(_KNOWN, np.int64), np.zeros(_KNOWN, np.int32)
-        self.flat, self.used = np.zeros(4 * _KNOWN, np.int32), 0
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(0, np.int32), 0
 
     def _add(self, names: list[int], flat: np.ndarray, counts: np.ndarray) -> None:
         n = len(self.known)
         if n + len(names) > len(self.begin):
-            room = np.zeros(n + len(names), np.int64)
-            self.begin = np.concatenate([self.begin, room])
-            self.count = np.concatenate([self.count, room.astype(np.int32)])
+            room = max(n // 2, len(names))
+            self.begin = np.concatenate([self.begin, np.zeros(room, np.int64)])
+            self.count = np.concatenate([self.count, np.zeros(room, np.int32)])
         if self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(flat), np.int32)])
+            self.flat = np.concatenate([self.flat, np.zeros(max(self.used // 2, len(flat)), np.int32)])
         self.flat[self.used : self.used + len(flat)] = flat
         self.begin[n : n + len(names)] = self.used + np.cumsum(counts) - counts
         self.count[n : n + len(names)] = counts
@@ -229,7 +230,7 @@ class ChunkTable:
         if -1 in rows:
             fresh = [k for k, row in enumerate(rows) if row < 0]
             if self.known and len(self.known) + len(fresh) > _KNOWN:
-                self._forget()
+                self.forget()
                 fresh = list(range(len(keys)))
             where = first[fresh]
             chunks = [buffer[a:b] for a, b in zip(begin[where].tolist(), end[where].tolist())]
@@ -255,7 +256,7 @@ class Coder(ChunkTable):
         return cls._made[path]
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self._tokenizer = path, None
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
@@ -266,6 +267,13 @@ class Coder(ChunkTable):
         self.space[list(b" \t\n\v\f\r")] = True
         super().__init__()
 
+    @property
+    def tokenizer(self) -> Tokenizer:
+        """The library's own, which few texts need; so it is read when one does."""
+        if self._tokenizer is None:
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
     def _chunks(self, texts):
         """Stretches without plain white space."""
         buffer = b" ".join([*texts, b""]) or b" "

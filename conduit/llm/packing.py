@@ -75,6 +75,7 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
                         part = own[4 * begin : 4 * (begin + LENGTH)]
                         out.append((doc, begin, len(part) // 4, zlib.crc32(part), n + 1))
             yield batch(_PIECES, **dict(zip(_PIECES.names, zip(*out)))) if out else batch(_PIECES, **{n: [] for n in _PIECES.names})
+        coder.forget()
 
     return texts_of(docs).mapInArrow(cut, _PIECES_SQL)
 

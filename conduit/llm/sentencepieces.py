@@ -319,6 +319,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
                 offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
                 yield batch(kind, doc_id=found.column(0).slice(i, j - i), ids=lists)
+        coder.forget()
 
     return texts_of(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -367,6 +368,7 @@ def round_trips(docs: DataFrame, model: str) -> DataFrame:
                     text_crc32=[zlib.crc32(x) for x in plain],
                     same=[x == y for x, y in zip(plain, texts[i:j])],
                 )
+        coder.forget()
 
     return texts_of(docs).mapInArrow(
         run, "doc_id long, n_ids long, ids_crc32 long, n_chars long, text_crc32 long, same boolean"

@@ -249,5 +249,6 @@ def counted(docs: DataFrame, ranks: str, pattern: str, edits=None) -> DataFrame:
                 out.append((doc, n_chars, n_tokens, tree.length, tree.total, tree.encoded, parts))
             if out:
                 yield batch(_COUNTED, **dict(zip(_COUNTED.names, zip(*out))))
+        counter.known.clear()  # an idle worker holds none
 
     return rows.mapInArrow(run, _COUNTED_SQL)

@@ -32,7 +32,7 @@ _BITS = 20  # of an evidence table's index
 _HASHED = 4  # inputs that tell words apart
 _INPUTS = 5 + _HASHED
 _SEPARATORS = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
-_KNOWN_WORDS = 150_000  # words whose projections a worker remembers at once
+_KNOWN_WORDS = 120_000  # words whose projections a worker remembers at once
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -79,8 +79,8 @@ def inputs(words: list[bytes], evidence: np.ndarray) -> np.ndarray:
     if words:
         hashes, (own, four, five) = _slots(words)
         out[:, 0] = evidence[0][own]
-        out[:, 1], out[:, 2] = _pooled(evidence[1][four[0]], four[1], len(words))
-        out[:, 3], out[:, 4] = _pooled(evidence[2][five[0]], five[1], len(words))
+        out[:, 1], out[:, 2] = _pooled(evidence[1][four[0]].astype(np.float32), four[1], len(words))
+        out[:, 3], out[:, 4] = _pooled(evidence[2][five[0]].astype(np.float32), five[1], len(words))
         bits = (hashes[:, None] >> np.arange(40, 40 + _HASHED, dtype=np.uint64)) & np.uint64(1)
         out[:, 5:] = bits.astype(np.float32) * 0.2 - 0.1
     return out
@@ -98,7 +98,7 @@ def count_evidence(texts: list[list[bytes]], toxic: np.ndarray) -> np.ndarray:
     clean, bad = max(int((toxic == 0).sum()), 1), max(int(toxic.sum()), 1)
     odds = np.log((seen[:, 1] + 0.5) / (bad + 1)) - np.log((seen[:, 0] + 0.5) / (clean + 1))
     total = seen.sum(1)
-    return (odds * total / (total + 8) / 4).astype(np.float32)
+    return (odds * total / (total + 8) / 4).astype(np.float16)
 
 
 def window_matrix(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,18 +219,18 @@ class Model:
 
     def __init__(self, evidence, network, scale, shift):
         self.evidence, self.network, self.scale, self.shift = evidence, network, scale, shift
-        self._forget()
+        self.forget()
 
     def __getstate__(self):
         return {k: getattr(self, k) for k in ("evidence", "network", "scale", "shift")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self._forget()
+        self.forget()
 
-    def _forget(self):
+    def forget(self) -> None:
         # the last row stays zero: it stands for positions without a word
-        self.known, self.table = {}, np.zeros((_KNOWN_WORDS + 1, 6 * HIDDEN), np.float32)
+        self.known, self.table = {}, np.zeros((1, 6 * HIDDEN), np.float32)
 
     def _rows(self, words: list[bytes]) -> np.ndarray:
         """Row of each word in the table of projections, which grows by unknown words."""
@@ -239,11 +239,13 @@ class Model:
         if -1 in at:
             fresh = list(dict.fromkeys([w for w, k in zip(words, at) if k < 0]))
             if len(self.known) + len(fresh) > _KNOWN_WORDS:
-                self._forget()
+                self.forget()
                 fresh = list(dict.fromkeys(words))
             base = len(self.known)
             if base + len(fresh) >= len(self.table):
-                self.table = np.zeros((base + len(fresh) + 1, 6 * HIDDEN), np.float32)
+                held = self.table[:base]
+                self.table = np.zeros((base + max(base // 2, len(fresh)) + 1, 6 * HIDDEN), np.float32)
+                self.table[:base] = held
             self.known.update(zip(fresh, range(base, base + len(fresh))))
             self.table[base : base + len(fresh)] = self.network.project(inputs(fresh, self.evidence))[:-1]
             get = self.known.get
@@ -321,7 +323,7 @@ def fit(texts: list[bytes], toxic: list[int], rate: float, seed: int = 7) -> Mod
         model.scale, model.shift = _calibrated(highest, label, rate)
     else:
         model.shift = -4.0  # nothing to learn from: all texts count as clean
-    model._forget()
+    model.forget()
     return model
 
 
@@ -393,6 +395,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 score=scores,
                 predicted=(scores >= 0.5).astype(np.int32),
             )
+        model.value.forget()  # what it remembers of words; an idle worker holds none
 
     marked = texts_of(docs).withColumn("held_out", held_out(F.col("doc_id")))
     return marked.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
@@ -408,5 +411,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for found in batches:
             texts = [x or b"" for x in byte_column(found.column(place))]
             yield found.filter(pa.array(_scored(texts, model.value) < 0.5))
+        model.value.forget()
 
     return docs.mapInArrow(keep, docs.schema)
