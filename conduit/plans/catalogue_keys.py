@@ -281,7 +281,7 @@ def agg03_parse_identity(spark, folder):
 
 
 @query("""
-    SELECT key, field, round(coalesce(value, CAST(whole AS DOUBLE)), 2) AS value, whole FROM (
+    SELECT key, field, coalesce(round(value, 2), CAST(whole AS DOUBLE)) AS value, whole FROM (
       SELECT 'stats:' || strftime(ts, '%Y%m%d%H') AS key, 'count' AS field,
              CAST(NULL AS DOUBLE) AS value, count(*) AS whole FROM events GROUP BY 1
       UNION ALL SELECT 'stats:' || strftime(ts, '%Y%m%d%H'), 'amount', sum(value), NULL
@@ -297,7 +297,8 @@ def agg04_hash_counters(spark, folder):
         # the last is beyond what a double holds exactly
         {"count": F.lit(1), "amount": F.col("value"), "large": F.col("event_id") + 2**53 + 1},
     )
-    return totals.withColumn("value", F.round("value", 2))
+    value = F.when(F.col("whole").isNull(), F.round("value", 2)).otherwise(F.col("value"))
+    return totals.withColumn("value", value)
 
 
 @query(f"""

@@ -249,7 +249,7 @@ def typ01_sqlite_affinity(spark, folder):
 @query("""
     SELECT o_orderkey AS id, o_totalprice AS price, CAST(round(o_totalprice) AS BIGINT) AS whole,
            o_orderstatus AS code, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed,
-           CAST(NULL AS BLOB) AS body
+           CAST(NULL AS VARCHAR) AS body, 'binary' AS body_type
     FROM orders
 """)
 def typ02_oracle_map(spark, folder):
@@ -262,7 +262,8 @@ def typ02_oracle_map(spark, folder):
         F.col("o_orderdate").alias("placed"),
         F.col("o_orderpriority").alias("body"),
     )
-    return typing.from_oracle_frame(orders, large_objects=("body",))
+    rows = typing.from_oracle_frame(orders, large_objects=("body",))
+    return rows.withColumn("body_type", F.typeof("body")).withColumn("body", F.hex("body"))
 
 
 @query("""
