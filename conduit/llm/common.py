@@ -111,7 +111,7 @@ def bitmap_filter(ids: DataFrame, column: str, log2_bits: int = 23) -> bytes:
 
     It may let rows pass that are not in ``ids``, never the reverse; the join decides.
     """
-    slots = ids.select(F.pmod(F.xxhash64(column), F.lit(1 << log2_bits)).alias("slot"))
+    slots = ids.select(slot_of(column, log2_bits).alias("slot"))
     words = (
         slots.select(
             F.shiftright("slot", 6).alias("word"),
@@ -126,18 +126,12 @@ def bitmap_filter(ids: DataFrame, column: str, log2_bits: int = 23) -> bytes:
     return out.tobytes()
 
 
-def thin(df: DataFrame, column: str, bitmap: bytes, log2_bits: int = 23) -> DataFrame:
-    """Keep the rows whose id may be in the bitmap."""
-    spark = df.sparkSession
-    held = spark.sparkContext.broadcast(bitmap)
-    kind = df.schema
+def maybe_in(bitmap: bytes, slots: pa.Array) -> np.ndarray:
+    """Which rows, by the slots of their ids, may be in the bitmap."""
+    bits, at = np.frombuffer(bitmap, np.int64), slots.to_numpy()
+    return ((bits[at >> 6] >> (at & 63)) & 1).astype(bool)
 
-    def passing(batches):
-        bits = np.frombuffer(held.value, np.int64)
-        for found in batches:
-            slot = found.column(found.num_columns - 1).to_numpy()
-            keep = (bits[slot >> 6] >> (slot & 63)) & 1
-            yield found.filter(pa.array(keep.astype(bool))).select(list(range(found.num_columns - 1)))
 
-    slotted = df.withColumn("__slot", F.pmod(F.xxhash64(column), F.lit(1 << log2_bits)))
-    return slotted.mapInArrow(passing, kind)
+def slot_of(column: str, log2_bits: int = 23) -> F.Column:
+    """A row's place in the bitmap of :func:`bitmap_filter`."""
+    return F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << log2_bits))

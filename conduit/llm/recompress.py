@@ -28,12 +28,13 @@ from conduit.llm.common import (
     batch,
     bitmap_filter,
     byte_column,
+    maybe_in,
     mix,
     ship,
+    slot_of,
     sorted_by,
     steps,
     texts_of,
-    thin,
     word_hashes,
 )
 from conduit.session import cut_lineage
@@ -321,8 +322,7 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     shared = cut_lineage(shared, "symbols")
     # Only texts that may have a shared symbol travel to their symbols.
-    some = thin(named, "doc_id", bitmap_filter(shared, "doc"))
-    tagged = some.mapInArrow(_tag_batches, "doc_id long, text string, tag int")
+    tagged = _some_tagged(named, shared)
     rows = (
         tagged.join(shared, (tagged["doc_id"] == shared["doc"]) & (tagged["tag"] == shared["tag"]))
         .select("doc_id", "text", "shared")
@@ -337,15 +337,26 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 _TAGGED = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("tag", pa.int32())])
 
 
-def _tag_batches(batches):
-    for found in batches:
-        tags = [xxhash.xxh32_intdigest(b" ".join(x.split())) for x in byte_column(found.column(1))]
-        yield batch(
-            _TAGGED,
-            doc_id=found.column(0),
-            text=found.column(1).cast(pa.string()),
-            tag=np.array(tags, np.uint32).view(np.int32),
-        )
+def _tag(text: bytes) -> int:
+    return int(np.uint32(xxhash.xxh32_intdigest(b" ".join(text.split()))).view(np.int32))
+
+
+def _some_tagged(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(doc_id, text, tag)`` of the texts whose doc_id may be in ``ids``.
+
+    Thinned out and tagged in one pass, so a task keeps one Python worker busy, not two.
+    """
+    held = texts.sparkSession.sparkContext.broadcast(bitmap_filter(ids, "doc"))
+
+    def run(batches):
+        for found in batches:
+            found = found.filter(pa.array(maybe_in(held.value, found.column(2))))
+            if found.num_rows:
+                tags = [_tag(x) for x in byte_column(found.column(1))]
+                yield batch(_TAGGED, doc_id=found.column(0), text=found.column(1).cast(pa.string()), tag=tags)
+
+    slotted = texts.where("doc_id is not null").withColumn("slot", slot_of("doc_id"))
+    return slotted.mapInArrow(run, "doc_id long, text string, tag int")
 
 
 _KEPT = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("n_removed", pa.int64()), ("sha", pa.string()), ("clean", pa.string())])
@@ -367,8 +378,7 @@ def _removed_batches(batches):
 
 def _changed(docs: DataFrame, starts: DataFrame) -> DataFrame:
     """``(doc, tag, n_removed, sha, clean)`` of the documents that lose some words."""
-    some = thin(texts_of(docs).where("doc_id is not null"), "doc_id", bitmap_filter(starts, "doc"))
-    tagged = some.mapInArrow(_tag_batches, "doc_id long, text string, tag int")
+    tagged = _some_tagged(texts_of(docs), starts)
     return (
         tagged.join(starts, (tagged["doc_id"] == starts["doc"]) & (tagged["tag"] == starts["tag"]))
         .select("doc_id", "text", tagged["tag"], "starts")
@@ -417,25 +427,19 @@ def without_repeated_passages(docs: DataFrame) -> DataFrame:
     while marked in docs.columns:
         marked += "_"
     place = docs.columns.index("text")
-    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 23))
 
     def tagged(batches):  # the tag of the texts that may change, null for all others
-        bits = np.frombuffer(bitmap.value, np.int64)
         for found in batches:
-            at = found.column(found.num_columns - 1).to_numpy()
-            maybe = (bits[at >> 6] >> (at & 63)) & 1
+            maybe = maybe_in(bitmap.value, found.column(found.num_columns - 1))
             texts = byte_column(found.column(place))
-            tags = [
-                np.uint32(xxhash.xxh32_intdigest(b" ".join((x or b"").split()))).view(np.int32) if y else None
-                for x, y in zip(texts, maybe.tolist())
-            ]
+            tags = [_tag(x or b"") if y else None for x, y in zip(texts, maybe.tolist())]
             rest = [found.column(k) for k in range(found.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(tags, pa.int32())], names=[*found.schema.names[:-1], marked]
             )
 
     schema = docs.withColumn(marked, F.lit(None).cast("int")).schema
-    rows = docs.withColumn(marked, slot).mapInArrow(tagged, schema)
+    rows = docs.withColumn(marked, slot_of("doc_id")).mapInArrow(tagged, schema)
     kept = rows.where(F.col(marked).isNull() | F.col("doc_id").isNull()).drop(marked)
     rows = rows.where(F.col(marked).isNotNull() & F.col("doc_id").isNotNull())
     found = clean.select(*(F.col(c).alias(f"{marked}_{c}") for c in clean.columns))
