@@ -32,21 +32,27 @@ _PRINTS = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
-    """The majority bit of the hashes of all shingles of a text (repeats count)."""
+def shingle_hashes(text: bytes, words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """Hashes of all shingles of a text, in order; a shorter text is one shingle, no words none."""
     parts = text.lower().split()  # ASCII case and white space only, as these are bytes
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(parts)
     n = len(parts) - words + 1
     if n < 2:
-        hashes = np.array([xxhash.xxh64_intdigest(line, seed)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-        begins = np.concatenate(([0], ends[: n - 1])).tolist()
-        ends = (ends[words - 1 :] - 1).tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = np.array([digest(line[a:b], seed) for a, b in zip(begins, ends)], np.uint64)
+        return np.array([xxhash.xxh64_intdigest(line, seed)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    begins = np.concatenate(([0], ends[: n - 1])).tolist()
+    ends = (ends[words - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(line[a:b], seed) for a, b in zip(begins, ends)], np.uint64)
+
+
+def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
+    """The majority bit of the hashes of all shingles of a text (repeats count)."""
+    hashes = shingle_hashes(text, words, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 15):
         part = hashes[at : at + (1 << 15)]
