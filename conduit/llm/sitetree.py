@@ -29,11 +29,11 @@ LEAST_PAGES = 5  # of a host, before its repeated texts mean anything
 LOW = 0.2  # importance below which a branch goes
 PRESENTATION = 0.1  # its share in a branch's importance
 
-DEEPEST = 512  # open elements; what opens beyond belongs to the last of them
+DEEPEST = 512  # open elements; what opens beyond hangs on the last of them, or on the first menu or the like beyond
 
 # Element names by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math canvas object textarea title select".split())
+RAW = frozenset("script style noscript template iframe svg annotation canvas textarea title select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section "
@@ -78,6 +78,36 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 
 
+class _Beyond:
+    """The open elements beyond DEEPEST, with places of tags, walls, blocks and noise at hand."""
+
+    def __init__(self):
+        self.open: list[tuple[int, list[list[int]]]] = []  # element and the lists that hold its place
+        self.by_tag: dict[str, list[int]] = {}
+        self.walls, self.blocks, self.noise = [], [], []
+
+    def push(self, node: int, tag: str, noise: bool) -> None:
+        lists = [self.by_tag.setdefault(tag, [])]
+        lists += [x for x, is_in in ((self.walls, tag in WALLS), (self.blocks, tag in BLOCK), (self.noise, noise)) if is_in]
+        for x in lists:
+            x.append(len(self.open))
+        self.open.append((node, lists))
+
+    def cut(self, place: int = 0) -> None:
+        while len(self.open) > place:
+            for x in self.open.pop()[1]:
+                x.pop()
+
+    def close(self, tag: str) -> bool:
+        """Whether an end tag ends here: at its own element, or at a wall it doesn't reach beyond."""
+        wall = self.walls[-1] if self.walls else -1
+        places = self.by_tag.get(tag)
+        if places and (tag in WALLS or places[-1] >= wall):
+            self.cut(places[-1])
+            return True
+        return wall >= 0 and tag not in WALLS
+
+
 class Page:
     """A page's elements, as lists by number, and its blocks of text."""
 
@@ -126,12 +156,17 @@ class Page:
     def _read(self, source: str) -> None:
         stack, held, at = [0], [], 0
         tags = self.tag
+        beyond = _Beyond()
 
         def flush():
             if held:
                 text = " ".join(html.unescape("".join(held)).split())
                 held.clear()
-                if text:
+                if text and beyond.blocks:
+                    self.blocks.append((beyond.open[beyond.blocks[-1]][0], text))
+                elif text and beyond.noise:
+                    self.blocks.append((beyond.open[beyond.noise[0]][0], text))
+                elif text:
                     k = len(stack) - 1
                     while k and tags[stack[k]] not in BLOCK:
                         k -= 1
@@ -154,9 +189,12 @@ class Page:
             if closing:
                 if tag in BLOCK:
                     flush()
+                if beyond.close(tag):
+                    continue
                 for k in range(len(stack) - 1, 0, -1):
                     if tags[stack[k]] == tag:
                         del stack[k:]
+                        beyond.cut()
                         break
                     if tags[stack[k]] in WALLS and tag not in WALLS:
                         break
@@ -175,14 +213,23 @@ class Page:
                 flush()
             if tag in VOID:
                 continue
+            if beyond.open and tag in CLOSED_BY.get(tags[beyond.open[-1][0]], ()):
+                beyond.cut(len(beyond.open) - 1)
             for k in range(len(stack) - 1, 0, -1):
+                if beyond.walls:
+                    break
                 open_tag = tags[stack[k]]
                 if tag in CLOSED_BY.get(open_tag, ()):
                     del stack[k:]
+                    beyond.cut()
                     break
                 if open_tag in WALLS:
                     break
             if len(stack) >= DEEPEST:
+                if not attributes.endswith("/") or tag in BLOCK:
+                    parent = beyond.open[beyond.noise[0]][0] if beyond.noise else stack[-1]
+                    node = self._open(parent, tag, attributes)
+                    beyond.push(node, tag, self.noise[node])
                 continue
             stack.append(self._open(stack[-1], tag, attributes))
             if attributes.endswith("/") and tag not in BLOCK:
