@@ -15,8 +15,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conduit.llm.common import batch, byte_column, ship, sorted_by, texts_of
 from conduit.llm.components import components
@@ -29,6 +30,7 @@ DISTANCE = 3  # bits
 CELL_BLOCK = 2048
 _PAIRS_AT_ONCE = 1 << 21
 _PRINTS = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
+_NAMED = pa.schema([("id", pa.int64()), ("sha", pa.string()), ("whole", pa.int64()), ("print", pa.int64())])
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -67,6 +69,12 @@ def _print_batches(batches):
         yield batch(_PRINTS, doc_id=found.column(0), print=prints.view(np.int64))
 
 
+def _named_prints(batches):
+    for found in batches:
+        prints = np.array([fingerprint(x) for x in byte_column(found.column(3))], np.uint64)
+        yield batch(_NAMED, id=found.column(0), sha=found.column(1), whole=found.column(2), print=prints.view(np.int64))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, print)`` of every row; a text without words has the print zero."""
     ship(docs.sparkSession)
@@ -208,6 +216,15 @@ def links(classes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_link_batches, "u long, v long")
 
 
+def _rooted(prints: DataFrame, first: Column) -> DataFrame:
+    """``(print, first, root)`` of all distinct prints: root is the smallest print that links reach."""
+    classes = cut_lineage(prints.groupBy("print").agg(first.alias("first")), "classes")
+    found = components(links(classes))
+    return classes.join(found, classes["print"] == found["node"], "left").select(
+        "print", "first", F.coalesce("root", "print").alias("root")
+    )
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every row of ``docs``.
 
@@ -219,11 +236,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     prints = cut_lineage(fingerprints(docs), "prints")
-    classes = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "classes")
-    found = components(links(classes))
-    roots = classes.join(found, classes["print"] == found["node"], "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
+    roots = _rooted(prints, F.min("doc_id"))
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     owner = roots.join(least, "root").select("print", "component_id")
     return prints.join(owner, "print").select(
@@ -232,8 +245,32 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, and those without an id."""
-    groups = near_copies(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull())
-    kept = named.join(groups, named["doc_id"].cast("long") == groups["__kept"], "left_semi")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each component of ``docs``, whatever the ids.
+
+    Components are those of :func:`near_copies`; null and empty texts are copies of each
+    other. The row with the smallest doc_id stays, nulls last; of several that with the
+    smallest SHA-256 of its text, then the smallest hash of all its columns that can be
+    hashed. Rows that agree in all of these are repeats, and one of them stays. Columns
+    are kept as they are, whatever their names; an empty table gives an empty result.
+    """
+    ship(docs.sparkSession)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not _has_map(f.dataType)]
+    who = {"id": F.col("doc_id").cast("long"), "sha": F.sha2(text, 256), "whole": F.xxhash64(*hashed)}
+    rows = docs.select(*[c.alias(n) for n, c in who.items()], text.alias("text"))
+    prints = cut_lineage(rows.mapInArrow(_named_prints, "id long, sha string, whole long, print long"), "prints")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "sha", "whole")
+    least = _rooted(prints, F.min(rank)).groupBy("root").agg(F.min("first").alias("best"))
+    # one name for join and repeats, so that the rows move once
+    name = F.sha2(F.concat_ws(" ", F.coalesce(F.col("id").cast("string"), F.lit("-")), "sha", F.col("whole").cast("string")), 256)
+    kept = least.select("best.*").select(name.alias("kept"))
+    named = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in who.items()]).select("row", name.alias("name"))
+    return named.join(kept, F.col("name") == F.col("kept"), "left_semi").dropDuplicates(["name"]).select("row.*")
+
+
+def _has_map(kind) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
