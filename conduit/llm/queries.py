@@ -17,6 +17,7 @@ from conduit.llm import (
     sitetree,
     tokencounts,
     toxicity,
+    wordids,
 )
 from conduit.llm.common import table
 
@@ -72,6 +73,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by a multilingual vocabulary and decoded again."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return wordids.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +92,7 @@ QUERIES = {
         op8_token_counts,
         op9_document_prints,
         op10_substring_dedup,
+        op13_byte_pairs,
     )
 }
 
