@@ -12,6 +12,7 @@ from conduit.llm import (
     packing,
     pii,
     recompress,
+    resampling,
     sentencepieces,
     simhash,
     sitetree,
@@ -73,6 +74,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op12_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five in a hundred of all documents, drawn towards the benchmark's texts."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by a multilingual vocabulary and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -92,6 +98,7 @@ QUERIES = {
         op8_token_counts,
         op9_document_prints,
         op10_substring_dedup,
+        op12_resampled,
         op13_byte_pairs,
     )
 }
