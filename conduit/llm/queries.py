@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conduit.llm import (
+    alignment,
     merkle,
     neighbours,
     packing,
@@ -74,6 +75,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned over all documents."""
+    a, b = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(table(spark, sf_dir, "documents"), a, b)
+
+
 def op12_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five in a hundred of all documents, drawn towards the benchmark's texts."""
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -98,6 +105,7 @@ QUERIES = {
         op8_token_counts,
         op9_document_prints,
         op10_substring_dedup,
+        op11_alignment,
         op12_resampled,
         op13_byte_pairs,
     )
