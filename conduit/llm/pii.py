@@ -22,6 +22,7 @@ _LABEL = DIGITS | _LETTERS | {"-"}
 _LOCAL = _LABEL | frozenset("._%+")
 _DIALLED = DIGITS | frozenset(" ().-")
 _URL_END = frozenset(" \t\n\r\f\v<>\"'`{}|\\^")
+_NAME_END = _URL_END | frozenset("/?#@")
 #: Words that announce an account number.
 ACCOUNT_CUES = ("iban", "account", "acct", "konto", "compte", "cuenta")
 KINDS = ("email", "ip", "card", "phone", "address", "account")
@@ -119,16 +120,20 @@ def _address(text: str, at: int):
     begin = at
     while begin > max(0, at - 16) and text[begin - 1] in _LABEL | {"+", "."}:
         begin -= 1
-    end, name = at + 3, None
+    if begin == at or text[begin] not in _LETTERS:
+        return None
+    # a name ends at the first at-sign, before any slash: so the next separator ends this look
+    sign = at + 3
+    while sign < len(text) and text[sign] not in _NAME_END:
+        sign += 1
+    if sign >= len(text) or text[sign] != "@" or sign == at + 3:
+        return None
+    end = sign
     while end < len(text) and text[end] not in _URL_END:
-        if name is None and text[end] in "/?#":
-            name = False
-        elif name is None and text[end] == "@":
-            name = end > at + 3
         end += 1
     while end > at + 3 and text[end - 1] in ".,;:!?)":
         end -= 1
-    return (begin, end) if name and begin < at and text[begin] in _LETTERS else None
+    return begin, end
 
 
 def _iban(text: str, at: int):

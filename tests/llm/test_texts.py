@@ -233,3 +233,18 @@ def test_likeness_and_edits():
     assert 0.9 < merkle.likeness(a, b) < 1 and merkle.likeness(a, merkle.fingerprint(prose(99, 50))) < 0.1
     assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("")) == 1
     assert merkle.likeness(merkle.fingerprint(""), a) == 0
+
+
+@pytest.mark.parametrize("piece", ["a://", "account", "account 1234567 ", "+1", "A1", " AA11", "12", "1.", "a@", "://x@", "a://x@"])
+def test_hostile_texts_take_linear_time(piece):
+    import time
+
+    from conduit.llm import pii
+
+    def seconds(size):
+        begin = time.process_time()
+        pii.spans_of(piece * (size // len(piece)))
+        return time.process_time() - begin
+
+    seconds(1000)
+    assert seconds(400_000) < 2
