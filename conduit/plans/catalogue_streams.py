@@ -24,11 +24,15 @@ from conduit.sources.topics import replay, shard_envelope
 from conduit.streaming import feeds, runs, state
 
 
+# Files that one micro-batch of a replay takes; by default all that are there.
+FILES_PER_TRIGGER = None
+
+
 def _events(spark, folder, files_per_trigger=None):
-    """The events table as a stream, with a zoned timestamp for watermarks."""
+    """The events table as a stream, with a zoned timestamp."""
     path = f"{folder.rstrip('/')}/events.parquet"
     schema = table(spark, folder, "events").schema
-    stream = replay(spark, path, schema, files_per_trigger)
+    stream = replay(spark, path, schema, files_per_trigger or FILES_PER_TRIGGER)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -112,9 +116,10 @@ def stm04_dispatch(spark, folder):
 def stm05_once(spark, folder):
     # every record is delivered twice
     twice = _events(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    kept = feeds.once(twice, ["event_id"], "ts", "1 hour").select("event_id", "event_type")
-    rows = runs.materialise(kept, "once")
-    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("records"))
+    twice = twice.select("event_id", "event_type", "ts")
+    kept = feeds.once(twice, ["event_id"], "ts", "1 hour", scratch_path(spark, "once"))
+    runs.start(twice, kept.store).awaitTermination()
+    return kept.read(spark).groupBy("event_type").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query("SELECT count(*) AS records, CAST(sum(event_id) AS BIGINT) AS checksum FROM events")
@@ -147,9 +152,10 @@ def stm07_restart(spark, folder):
     FROM events GROUP BY 1
 """)
 def stm08_hourly_counters(spark, folder):
-    hourly = feeds.hourly_counters(_events(spark, folder), "ts", "value")
-    updates = runs.materialise(hourly, "hourly", "update")
-    return runs.latest(updates, ["hour"]).select(
+    stream = _events(spark, folder).select("ts", "value")
+    hourly = feeds.hourly_counters(stream, "ts", "value", scratch_path(spark, "hourly"))
+    runs.start(stream, hourly.store).awaitTermination()
+    return hourly.read(spark).select(
         _plain("hour"), "count", F.round("amount", 2).alias("amount")
     )
 
@@ -190,5 +196,7 @@ def stm10_live_hashes(spark, folder):
     SELECT date_trunc('second', ts) AS tick, count(*) AS "rows" FROM events GROUP BY 1
 """)
 def stm11_throughput(spark, folder):
-    updates = runs.materialise(feeds.ticks(_events(spark, folder), "ts"), "ticks", "update")
-    return runs.latest(updates, ["tick"]).select(_plain("tick"), "rows")
+    stream = _events(spark, folder).select("ts")
+    ticks = feeds.ticks(stream, "ts", scratch_path(spark, "ticks"))
+    runs.start(stream, ticks.store).awaitTermination()
+    return ticks.read(spark).select(_plain("tick"), "rows")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conduit.functions.patterns import CHANGE_FLAGS
 from conduit.operators.counters import statistics_columns
 from conduit.operators.lookups import Topic, route_exact, topic_table
+from conduit.streaming.tallies import Kept, Tally
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -58,19 +59,20 @@ def dispatcher(
     return dispatch
 
 
-def once(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """Each record once, however often it was delivered within ``delay``."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+def once(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, path: str) -> Kept:
+    """Each record once below ``path``, however often it was delivered within ``delay``."""
+    return Kept(path, stream, keys, ts, delay)
 
 
-def hourly_counters(stream: DataFrame, ts: str, amount: str, ttl: str = "1 day") -> DataFrame:
-    """Count and amount per hour; an hour's state lives as long as its counters."""
-    return (
-        stream.withWatermark(ts, ttl)
-        .groupBy(F.window(ts, "1 hour").alias("_w"))
-        .agg(F.count(F.lit(1)).alias("count"), F.sum(amount).alias("amount"))
-        .select(F.col("_w.start").alias("hour"), "count", "amount")
-    )
+def hourly_counters(stream: DataFrame, ts: str, amount: str, path: str) -> Tally:
+    """Count and amount per hour below ``path``; a row counts however late it comes."""
+    measures = {"count": ("count", F.lit(1)), "amount": ("sum", F.col(amount))}
+    return Tally(path, stream, {"hour": F.date_trunc("hour", ts)}, measures)
+
+
+def alive_hours(counters: DataFrame, as_of: Column, ttl: str = "1 day") -> DataFrame:
+    """Hours whose counters live at a moment: they expire ``ttl`` after the hour began."""
+    return counters.where(F.col("hour") + F.expr(f"INTERVAL {ttl}") > as_of)
 
 
 def live_statistics(stream: DataFrame, identity: str, kind: Column, amount: Column) -> DataFrame:
@@ -78,11 +80,6 @@ def live_statistics(stream: DataFrame, identity: str, kind: Column, amount: Colu
     return stream.groupBy(identity).agg(*statistics_columns(kind, amount))
 
 
-def ticks(stream: DataFrame, ts: str, span: str = "1 second", delay: str = "1 minute") -> DataFrame:
-    """Rows per tick of a stream."""
-    return (
-        stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, span).alias("_w"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.col("_w.start").alias("tick"), "rows")
-    )
+def ticks(stream: DataFrame, ts: str, path: str, span: str = "1 second") -> Tally:
+    """Rows per tick of a stream below ``path``; a row counts however late it comes."""
+    return Tally(path, stream, {"tick": F.window(ts, span)["start"]}, {"rows": ("count", F.lit(1))})

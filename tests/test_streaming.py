@@ -1,14 +1,15 @@
 """Streaming: replay, dispatch, de-duplication, restart and live counters."""
 
 import datetime
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from conduit.operators.lookups import Topic
-from conduit.plans import catalogue
+from conduit.plans import catalogue, catalogue_streams
 from conduit.sources.topics import TopicSpec, decode_json, present_topics, replay, shard_envelope
-from conduit.streaming import feeds, runs, state
+from conduit.streaming import feeds, runs, spans, state
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -84,18 +85,18 @@ def test_dispatch(spark, topic):
     assert seen == {"all": 40}
 
 
-def test_once_across_batches(spark, topic):
+def test_once_across_batches(spark, topic, tmp_path):
     twice = stream(spark, topic).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    again = feeds.once(twice, ["id"], "ts", "1 hour")
-    assert runs.materialise(again.select("id"), "once").count() == 40
+    again = feeds.once(twice, ["id"], "ts", "1 hour", str(tmp_path / "once"))
+    runs.start(twice, again.store).awaitTermination()
+    assert sorted(r.id for r in again.read(spark).collect()) == list(range(40))
 
 
-def test_live_results_equal_batch(spark, topic):
+def test_live_results_equal_batch(spark, topic, tmp_path):
     batch = spark.read.parquet(topic)
-    hourly = runs.latest(
-        runs.materialise(feeds.hourly_counters(stream(spark, topic), "ts", "v"), "h", "update"),
-        ["hour"],
-    )
+    tally = feeds.hourly_counters(stream(spark, topic), "ts", "v", str(tmp_path / "hours"))
+    runs.start(stream(spark, topic), tally.store).awaitTermination()
+    hourly = tally.read(spark)
     expected = batch.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("count"), F.sum("v").alias("amount")
     )
@@ -106,15 +107,61 @@ def test_live_results_equal_batch(spark, topic):
     assert (row.p2p, row.p2p_sum, row.bill) == (4, 60, 0)
 
 
-def test_rows_later_than_the_ttl_drop(spark, tmp_path):
-    path = str(tmp_path / "late")
-    for hours in (0, 48, 1):  # the last file is two days behind
-        df = spark.createDataFrame([(START + datetime.timedelta(hours=hours), 1)], "ts timestamp, v int")
-        df.coalesce(1).write.mode("append").parquet(path)
-    # watermarks move between batches, so the order of the files matters
-    live = feeds.hourly_counters(stream(spark, path), "ts", "v", ttl="1 day")
-    got = runs.latest(runs.materialise(live, "late", "update"), ["hour"])
-    assert got.agg(F.sum("count")).first()[0] in (2, 3)
+def test_late_rows_count(spark, tmp_path):
+    """A row counts in its hour however late it comes; hours are alive for their time to live."""
+    tally = feeds.hourly_counters(spark.createDataFrame([], "ts timestamp, v int"), "ts", "v", str(tmp_path / "hours"))
+    at = lambda h: START + datetime.timedelta(hours=h)
+    for n, hours in enumerate(((0, 0), (48,), (1, 0), (), (None,))):
+        rows = [(None if h is None else at(h), 1) for h in hours]
+        tally.store(spark.createDataFrame(rows, "ts timestamp, v int"), n)
+    held = {r["hour"]: (r["count"], r["amount"]) for r in tally.read(spark).collect()}
+    assert held == {at(0): (3, 3), at(1): (1, 1), at(48): (1, 1), None: (1, 1)}
+    alive = feeds.alive_hours(tally.read(spark), F.lit(at(24.5)).cast("timestamp"), "1 day")
+    assert {r.hour for r in alive.collect()} == {at(1), at(48)}
+
+
+def test_repeated_batches_replace_their_own_part(spark, tmp_path):
+    kept = feeds.once(spark.createDataFrame([], "id long, ts timestamp"), ["id"], "ts", "1 hour", str(tmp_path / "kept"))
+    ticks = feeds.ticks(spark.createDataFrame([], "id long, ts timestamp"), "ts", str(tmp_path / "ticks"))
+    late = START - datetime.timedelta(days=9)
+    batches = [[(1, START), (1, START), (None, START)], [(2, late), (1, START)], [(2, late), (None, START), (3, None)], [(3, None)]]
+    for n, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, "id long, ts timestamp")
+        for _ in range(2):  # a restart repeats the newest batch
+            kept.store(frame, n)
+            ticks.store(frame, n)
+    assert sorted((r.id or 0) for r in kept.read(spark).collect()) == [0, 1, 2, 3]
+    assert {r.tick: r.rows for r in ticks.read(spark).collect()} == {START: 5, late: 2}
+
+
+def test_spans_grow_with_the_logarithm(spark, tmp_path):
+    """What a batch opens does not grow with the log, and merging loses nothing."""
+    log = spans.SpanLog(str(tmp_path / "log"), spark.range(1).schema, ["id"], buckets=4, fan=3)
+    opened = []
+    for n in range(30):
+        log.append(spark.range(n * 10, n * 10 + 10, 1, 1), n)
+        log.settle(spark, n)
+        opened.append(len(log.read(spark, [1]).inputFiles()))
+        assert [b[0] - a[1] for a, b in zip(log.spans(spark), log.spans(spark)[1:])] == [1] * (len(log.spans(spark)) - 1)
+    assert max(opened[15:]) <= max(opened[:15]) + 2 and max(opened) <= 8
+    assert sorted(r.id for r in log.read(spark).collect()) == list(range(300))
+    assert sorted(r.id for r in log.read(spark, before=2).collect()) == list(range(20))
+    some = log.touched(spark.range(5, 6))
+    assert 5 in {r.id for r in log.read(spark, some).collect()}
+    with pytest.raises(ValueError):
+        log.append(spark.range(1), 3)  # another checkpoint begins anew in this log
+
+
+def test_unfinished_spans_do_not_count(spark, tmp_path):
+    log = spans.SpanLog(str(tmp_path / "log"), spark.range(1).schema, fan=2)
+    for n in range(3):
+        log.append(spark.range(n, n + 1), n)
+    shutil.copytree(tmp_path / "log" / "span=0-0", tmp_path / "log" / "span=0-1")
+    (tmp_path / "log" / "span=0-1" / "_SUCCESS").unlink()  # a merge that ended before it was done
+    assert log.spans(spark) == [(0, 0), (1, 1), (2, 2)]
+    log.settle(spark, 2)
+    assert log.spans(spark) == [(0, 1), (2, 2)]
+    assert sorted(r.id for r in log.read(spark).collect()) == [0, 1, 2]
 
 
 def test_change_events_collapse_bulk(spark):
@@ -164,7 +211,10 @@ def test_hashes_for_any_file_layout(spark, folder, scattered, name):
 
 
 @pytest.mark.parametrize("name", ["stm05_once", "stm08_hourly_counters", "stm09_live_statistics", "stm11_throughput", "stm06_rate_limit"])
-def test_streams_for_any_file_layout(spark, folder, scattered, name):
+@pytest.mark.parametrize("files", [1, None])
+def test_streams_for_any_file_layout(spark, folder, scattered, monkeypatch, name, files):
+    """Twelve files in no order of time, one a micro-batch or all at once."""
+    monkeypatch.setattr(catalogue_streams, "FILES_PER_TRIGGER", files)
     rows = [sorted(map(str, catalogue.QUERIES[name](spark, where).collect())) for where in (folder, scattered)]
     assert rows[0] == rows[1]
 
@@ -187,6 +237,75 @@ def test_emptied_keys_and_late_operations(spark, tmp_path):
     assert [(r.key, r.amount) for r in state.late_operations(spark, path).collect()] == [("b", 1)]
 
 
+OPS = "key string, ts timestamp, seq long, op string, field string, amount long"
+
+
+def at(second):
+    return datetime.datetime(2024, 1, 1, 0, 0, second)
+
+
+def filled(spark, path):
+    fold = state.live_hashes(path)
+    for n in range(6):
+        fold(spark.createDataFrame([(f"k{n % 3}", at(n * 5 + 1), n, "hincrby", f"f{n}", n + 1)], OPS), n)
+    return fold
+
+
+def held(spark, path):
+    return sorted((r.key, r.field, r.value) for r in state.folded_values(spark, path, at(59)).collect())
+
+
+@pytest.mark.parametrize("moments", [(20, 5), (3, 12, 8, 40), (40, 40, 50)])
+def test_compacting_in_any_order_loses_nothing(spark, tmp_path, moments):
+    path = str(tmp_path / "state")
+    filled(spark, path)
+    want, furthest = held(spark, path), -1
+    assert len(want) == 6
+    for moment in moments:
+        if moment > furthest:
+            state.compact(spark, path, at(moment))
+            furthest = moment
+        else:
+            with pytest.raises(ValueError):
+                state.compact(spark, path, at(moment))
+        assert held(spark, path) == want
+    assert state.late_operations(spark, path).count() == 0
+
+
+def test_compaction_may_end_anywhere_and_run_beside_a_writer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    fold = filled(spark, path)
+    want = held(spark, path)
+    append = spans.SpanLog.append
+
+    def dies(self, frame, batch_id):
+        append(self, frame, batch_id)
+        if "/base/" in self.path:
+            for done in (tmp_path / "state" / "base").rglob("_SUCCESS"):
+                done.unlink()
+            raise OSError("lost before the base was finished")
+
+    monkeypatch.setattr(spans.SpanLog, "append", dies)
+    with pytest.raises(OSError):
+        state.compact(spark, path, at(20))
+    monkeypatch.undo()
+    assert held(spark, path) == want
+
+    def beside(self, frame, batch_id):  # a batch comes in while the base is being made
+        if self.path.endswith("/values"):
+            fold(spark.createDataFrame([("k9", at(2), 90, "hset", "early", 1), ("k9", at(50), 91, "hset", "new", 2)], OPS), 6)
+        append(self, frame, batch_id)
+
+    monkeypatch.setattr(spans.SpanLog, "append", beside)
+    state.compact(spark, path, at(21))
+    monkeypatch.undo()
+    assert held(spark, path) == sorted([*want, ("k9", "new", 2)])
+    assert [r.field for r in state.late_operations(spark, path).collect()] == ["early"]
+    state.compact(spark, path, at(55))  # deletes what the base before had covered
+    assert held(spark, path) == sorted([*want, ("k9", "new", 2)])
+    assert [r.field for r in state.late_operations(spark, path).collect()] == ["early"]
+
+
 def test_empty_streams(spark, folder, tmp_path):
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "events.parquet"))
