@@ -157,6 +157,25 @@ def snk06_transaction(spark, folder):
     return store.read().select("s_suppkey", "s_name")
 
 
+@query("""
+    SELECT s_suppkey, CASE WHEN s_acctbal < 1000 THEN 'blocked' ELSE s_name END AS s_name
+    FROM supplier WHERE s_nationkey <> 3
+    UNION ALL SELECT c_custkey + 1000000000, c_name FROM customer
+""")
+def snk06_change_set(spark, folder):
+    supplier = table(spark, folder, "supplier")
+    store = SnapshotTable(spark, scratch_path(spark, "supplier"))
+    store.commit(supplier)
+    added = table(spark, folder, "customer").select(
+        (F.col("c_custkey") + 1000000000).alias("s_suppkey"), F.col("c_name").alias("s_name")
+    )
+    mine, other = store.begin(), store.begin()
+    other.insert(added).commit()  # comes first, and changes no row of ours
+    mine.delete(F.col("s_nationkey") == 3)
+    mine.update({"s_name": F.lit("blocked")}, F.col("s_acctbal") < 1000).commit()
+    return store.read().select("s_suppkey", "s_name")
+
+
 @query("SELECT p_brand, count(*) AS parts FROM part GROUP BY p_brand")
 def dml04_create_and_drop_table(spark, folder):
     path = scratch_path(spark, "parts")

@@ -4,6 +4,7 @@ import bz2
 import hashlib
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,60 @@ def test_snapshots(spark, tmp_path):
         store.commit(spark.range(1), base=1)
 
 
+def written(path):
+    """Rows in every data folder of a snapshot table."""
+    return {d.name: pq.read_table(d).num_rows for kind in ("rows", "gone") for d in (path / kind).glob("*")}
+
+
+def test_change_sets_write_only_what_they_change(spark, tmp_path):
+    store = SnapshotTable(spark, str(tmp_path / "t"))
+    store.commit(spark.range(100).withColumn("v", F.lit("a")))
+    before = written(tmp_path / "t")
+    store.begin().insert(spark.range(500, 501)).commit()
+    after = written(tmp_path / "t")
+    assert [after[n] for n in after if n not in before] == [1]
+    store.begin().update({"v": F.lit("b")}, F.col("id") == 7).delete(F.col("id") > 400).delete(F.col("v") == "zz").commit()
+    assert sorted(n for name, n in written(tmp_path / "t").items() if name not in after) == [0, 1, 1, 1]
+    held = {r.id: r.v for r in store.read().collect()}
+    assert held == {i: "b" if i == 7 else "a" for i in range(100)}
+    assert store.read(2).count() == 101 and store.read(1).count() == 100
+    assert store.compact() == 4 and {r.id: r.v for r in store.read().collect()} == held
+    assert store.read().columns == ["id", "v"]
+    with pytest.raises(ValueError):
+        store.begin().insert(spark.range(1).withColumnRenamed("id", "other"))
+
+
+def test_change_sets_of_different_folders_both_succeed(spark, tmp_path):
+    store = SnapshotTable(spark, str(tmp_path / "t"))
+    store.commit(spark.range(10))
+    store.begin().insert(spark.range(100, 110)).commit()
+    one, two, three, late = (store.begin() for _ in range(4))
+    one.delete(F.col("id") == 3)
+    two.delete(F.col("id") == 103).insert(spark.range(1000, 1001))
+    three.insert(spark.range(3, 4))  # a row like the one that goes; it stays
+    late.update({"id": F.lit(-1)}, F.col("id") == 4)
+    assert [one.commit(), two.commit(), three.commit()] == [3, 4, 5]
+    with pytest.raises(CommitConflict):
+        late.commit()  # its row lies in the folder that one changed
+    want = sorted([*range(10), *range(100, 103), *range(104, 110), 1000])
+    assert sorted(r.id for r in store.read().collect()) == want
+    replaced = store.begin().delete(F.col("id") == 5)
+    store.commit(spark.range(2))
+    with pytest.raises(CommitConflict):
+        replaced.commit()
+    assert sorted(r.id for r in store.read().collect()) == [0, 1]
+
+
+def test_a_failed_step_changes_nothing(spark, tmp_path):
+    store = SnapshotTable(spark, str(tmp_path / "t"))
+    store.commit(spark.range(5))
+    changes = store.begin().delete(F.col("id") == 1)
+    with pytest.raises(Exception):
+        changes.insert(spark.range(1).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")))
+    assert store.version() == 1 and store.read().count() == 5
+    assert sorted(r.id for r in changes.read().collect()) == [0, 2, 3, 4]
+
+
 def test_tables_are_created_and_dropped(spark, tmp_path):
     dml.create_table(spark.range(3), "made_here", str(tmp_path / "made"))
     assert spark.table("made_here").count() == 3
