@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conduit.llm.blocks import answered, block_bytes, gathered, packed, unpacked
+from conduit.llm.blocks import answered, block_bytes, gathered, packed, stored, unpacked
 from conduit.llm.bpe import ChunkTable, _byte_letters, gather
 from conduit.llm.common import batch, ship, steps, texts_of
 from conduit.llm.sentencepieces import PieceCoder
@@ -228,7 +228,7 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     gives none.
     """
     ship(docs.sparkSession)
-    blocks = cut_lineage(_blocks(texts_of(docs), byte_level, pieces), "links")
+    blocks = stored(_blocks(texts_of(docs), byte_level, pieces), "links")
     base = len(PieceCoder.of(pieces).vocabulary.shown_count)
     counts = cut_lineage(pair_counts(blocks), "pairs")
     side = F.expr(f"pair div {base}")
@@ -255,4 +255,4 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
             groups_sha256=block["digests"],
         )
 
-    return answered(blocks.drop("pairs", "holders"), answers, run, _ALIGNED, _ALIGNED_SQL)
+    return answered(blocks.drop("pairs", "holders"), answers, run, _ALIGNED_SQL)

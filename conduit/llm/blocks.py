@@ -9,14 +9,16 @@ that a lost executor finds the same blocks again.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from conduit.llm.common import byte_column, sorted_by
+from conduit.llm.common import byte_column, partitions_for
+from conduit.session import scratch_path
 
 # Bytes of text of one block; one longer text is a block of its own. No result depends on it.
 BLOCK_BYTES = 16 << 20
@@ -46,48 +48,53 @@ def gathered(batches, limit: int):
         yield block, keys, texts
 
 
+def squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, 3)
+
+
 def packed(values) -> bytes:
     """Numbers from 0 to 2**32 - 1, byte by byte in planes, compressed."""
     planes = np.ascontiguousarray(np.asarray(values).astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.compress(planes.tobytes(), 3)
+    return squeezed(planes.tobytes())
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return zstandard.decompress(data)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(unsqueezed(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def answered(blocks: DataFrame, answers: DataFrame, run, schema: pa.Schema, ddl: str) -> DataFrame:
+def stored(blocks: DataFrame, label: str) -> DataFrame:
+    """``blocks(block, ...)`` written in buckets of ``block``, so that answers move to them and not they to the answers.
+
+    The bucketed table's name is dropped at once; its files stay in the shared folder.
+    """
+    spark = blocks.sparkSession
+    name = f"conduit_{label}_{uuid.uuid4().hex}"
+    writer = blocks.write.bucketBy(partitions_for(spark), "block").option("path", scratch_path(spark, label))
+    writer.saveAsTable(name)
+    held = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return held
+
+
+def answered(blocks: DataFrame, answers: DataFrame, run, ddl: str) -> DataFrame:
     """``run(block, answers)`` of every row of ``blocks``, a record batch each.
 
-    ``answers(block, at, ...)`` are dealt with the rows of ``blocks(block, ...)``; columns of
-    the two must have different names but for ``block``. ``run`` gets a dictionary of the
-    block's columns, and one of each answer column's values, ordered by ``at``.
+    ``blocks`` is of :func:`stored`. ``run`` gets a dictionary of the block's columns, and
+    one of each column's values of its rows of ``answers(block, at, ...)``, ordered by ``at``.
     """
-    given, asked = [c for c in answers.columns if c != "block"], [c for c in blocks.columns if c != "block"]
-    rows = answers.unionByName(blocks.withColumn("at", F.lit(2**62)), allowMissingColumns=True)
-    dealt = sorted_by(rows.select("block", *given, *asked), ["block"], ["block", "at"])
-
-    def meet(batches):
-        owner, held = None, {c: [] for c in given}
-        for found in batches:
-            columns = {c: found.column(c) for c in found.schema.names}
-            block, at = columns["block"].to_numpy(), columns["at"].to_numpy()
-            begin = 0
-            for end in [*np.flatnonzero(at == 2**62).tolist(), len(at)]:
-                if end > begin:
-                    if owner != block[begin]:
-                        owner, held = block[begin], {c: [] for c in given}
-                    for c in given:
-                        held[c].append(columns[c].slice(begin, end - begin))
-                if end < len(at):
-                    if owner != block[end]:
-                        held = {c: [] for c in given}
-                    yield run(
-                        {c: columns[c][end].as_py() for c in asked},
-                        {c: pa.chunked_array(parts, type=columns[c].type) for c, parts in held.items()},
-                    )
-                    owner, held = None, {c: [] for c in given}
-                begin = end + 1
-
-    return dealt.mapInArrow(meet, ddl)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        order = np.argsort(right["at"].to_numpy(), kind="stable")
+        found = {c: right[c].take(pa.array(order)) for c in right.column_names}
+        rows = left.to_pylist()
+        if len(rows) != 1:
+            raise ValueError("answers of a block that is not there")
+        return pa.Table.from_batches([run(rows[0], found)])
+
+    asked = answers.withColumnRenamed("block", "of_block")  # its own column, also where it comes from blocks
+    return blocks.groupBy("block").cogroup(asked.groupBy("of_block")).applyInArrow(meet, ddl)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conduit.llm.blocks import answered, block_bytes, gathered, packed, unpacked
+from conduit.llm.blocks import answered, block_bytes, gathered, packed, stored, unpacked
 from conduit.llm.common import batch, byte_column, ship, sorted_by, texts_of
 from conduit.plans.segments import number_rows
 from conduit.session import cut_lineage
@@ -211,7 +211,7 @@ def blocks_of(rows: DataFrame) -> DataFrame:
                 keys=[[_name(line) for line in number]],
             )
 
-    return cut_lineage(rows.mapInArrow(run, _BLOCKS_SQL), "documents")
+    return stored(rows.mapInArrow(run, _BLOCKS_SQL), "documents")
 
 
 def bucket_counts(lines: DataFrame, blocks: DataFrame) -> np.ndarray:
@@ -264,7 +264,7 @@ def scores(docs: DataFrame, target: DataFrame, seed: int = SEED) -> DataFrame:
     asked = blocks.select("block", F.posexplode("keys").alias("at", "key"))
     answers = asked.join(weights, "key").select("block", F.col("at").cast("long").alias("at"), "weight")
     ddl = "doc_id long, n_words long, n_features long, weight long, score long"
-    return answered(blocks.drop("keys"), answers, run, _SCORES, ddl)
+    return answered(blocks.drop("keys"), answers, run, ddl)
 
 
 def resampled(docs: DataFrame, target: DataFrame, seed: int = SEED, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:

@@ -27,9 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conduit.llm.blocks import answered, block_bytes, gathered, packed, unpacked
+from conduit.llm.blocks import answered, block_bytes, gathered, packed, squeezed, stored, unpacked, unsqueezed
 from conduit.llm.common import batch, byte_column, ship, sorted_by, texts_of
-from conduit.session import cut_lineage
 
 # Words of all blocks that one range of hashes is meant to hold.
 RANGE_WORDS = 100_000
@@ -84,7 +83,7 @@ def _blocks(docs: DataFrame, pattern: str) -> DataFrame:
                 sizes=[packed(sizes)],
                 numbers=[packed(renamed[numbers])],
                 order=[packed(order)],
-                words=[b"".join(words)],
+                words=[squeezed(b"".join(words))],
                 lengths=[packed(list(map(len, words)))],
                 n_words=[len(words)],
             )
@@ -105,20 +104,19 @@ def _slices(blocks: DataFrame) -> DataFrame:
     def run(batches):
         for found in batches:
             for block, data, lengths in zip(*(found.column(k).to_pylist() for k in range(3))):
-                lengths = unpacked(lengths)
+                data, lengths = unsqueezed(data), unpacked(lengths)
                 ranges = (_places(_split(data, lengths)) >> np.uint64(62 - bits)).astype(np.int64)
                 if not len(ranges):
                     continue
                 first = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]])
                 edges = np.r_[first, len(ranges)].tolist()
                 ends = np.r_[0, np.cumsum(lengths)][edges].tolist()
-                sizes = lengths.astype("<u4")
                 yield batch(
                     _SLICES,
                     range=ranges[first],
                     block=np.full(len(first), block),
-                    words=[data[a:b] for a, b in zip(ends, ends[1:])],
-                    lengths=[sizes[a:b].tobytes() for a, b in zip(edges, edges[1:])],
+                    words=[squeezed(data[a:b]) for a, b in zip(ends, ends[1:])],
+                    lengths=[packed(lengths[a:b]) for a, b in zip(edges, edges[1:])],
                 )
 
     return blocks.select("block", "words", "lengths").mapInArrow(run, "range long, block long, words binary, lengths binary")
@@ -135,27 +133,27 @@ def _word_ids(slices: DataFrame, ranks: str, pattern: str) -> DataFrame:
             rows = zip(*(found.column(k).to_pylist() for k in (0, 2, 3)))
             for where, data, lengths in rows:
                 if where != owner:
-                    known, owner = {}, where
-                words = _split(data, np.frombuffer(lengths, "<u4"))
+                    known, owner = {}, where  # ids by word, four bytes each
+                words = _split(unsqueezed(data), unpacked(lengths))
                 for word in words:
                     if word not in known:
                         known[word] = np.array(encoding.encode_ordinary(word.decode()), "<u4").tobytes()
                 each = [known[w] for w in words]
-                counts.append((np.fromiter(map(len, each), np.uint32, len(each)) >> 2).astype("<u4").tobytes())
-                ids.append(b"".join(each))
+                counts.append(packed(np.fromiter(map(len, each), np.int64, len(each)) >> 2))
+                ids.append(packed(np.frombuffer(b"".join(each), "<u4")))
             yield batch(_IDS, block=found.column(1), at=found.column(0), counts=counts, ids=ids)
 
     dealt = sorted_by(slices, ["range"], ["range"])
     return dealt.mapInArrow(run, "block long, at long, counts binary, ids binary")
 
 
-def _ids_by_position(docs: DataFrame, ranks: str, pattern: str, shown, schema: pa.Schema, ddl: str) -> DataFrame:
+def _ids_by_position(docs: DataFrame, ranks: str, pattern: str, shown, ddl: str) -> DataFrame:
     """``shown(doc_id, ids)`` of every document, as a record batch a block of them."""
-    blocks = cut_lineage(_blocks(texts_of(docs), pattern), "words")
+    blocks = stored(_blocks(texts_of(docs), pattern), "words")
 
     def run(block, answers):
-        counts = np.frombuffer(b"".join(answers["counts"].to_pylist()), "<u4").astype(np.int64)
-        ids = np.frombuffer(b"".join(answers["ids"].to_pylist()), "<u4")
+        none = [np.zeros(0, np.int64)]
+        counts, ids = (np.concatenate(none + [unpacked(x) for x in answers[c].to_pylist()]) for c in ("counts", "ids"))
         ends = np.cumsum(counts)
         order, numbers, sizes = (unpacked(block[c]) for c in ("order", "numbers", "sizes"))
         count_of, begin_of = counts[order], (ends - counts)[order]
@@ -169,8 +167,8 @@ def _ids_by_position(docs: DataFrame, ranks: str, pattern: str, shown, schema: p
             out.append(ids[offset + np.arange(total)])
         return shown(block["docs"], out)
 
-    asked = blocks.select("block", "docs", "sizes", "numbers", F.col("order").alias("order"))
-    return answered(asked, _word_ids(_slices(blocks), ranks, pattern), run, schema, ddl)
+    asked = blocks.select("block", "docs", "sizes", "numbers", "order")
+    return answered(asked, _word_ids(_slices(blocks), ranks, pattern), run, ddl)
 
 
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -189,7 +187,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def shown(keys, found):
         return batch(_ENCODED, doc_id=keys, ids=[x.astype(np.int32) for x in found])
 
-    return _ids_by_position(docs, ranks, pattern, shown, _ENCODED, "doc_id long, ids array<int>")
+    return _ids_by_position(docs, ranks, pattern, shown, "doc_id long, ids array<int>")
 
 
 class TokenBytes:
@@ -266,7 +264,7 @@ def decoded(rows: DataFrame, ranks: str) -> DataFrame:
     """
     spark = ship(rows.sparkSession)
     given = rows.selectExpr("cast(doc_id as long) doc_id", "cast(ids as array<long>) ids")
-    blocks = cut_lineage(_id_blocks(given), "ids")
+    blocks = stored(_id_blocks(given), "ids")
     asked = blocks.select("block", F.posexplode("distinct").alias("at", "id"))
     # the left join keeps ids that are no tokens, for run to refuse
     answers = asked.join(token_table(spark, ranks), "id", "left").select("block", F.col("at").cast("long").alias("at"), "bytes")
@@ -279,7 +277,7 @@ def decoded(rows: DataFrame, ranks: str) -> DataFrame:
         data = [b"".join([parts[k] for k in numbers[a:b]]) for a, b in zip(ends, ends[1:])]
         return batch(_DECODED, doc_id=block["docs"], data=data)
 
-    return answered(blocks.drop("distinct"), answers, run, _DECODED, "doc_id long, data binary")
+    return answered(blocks.drop("distinct"), answers, run, "doc_id long, data binary")
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -302,4 +300,4 @@ def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
             decoded_sha256=[hashlib.sha256(table.joined(x)).hexdigest() for x in found],
         )
 
-    return _ids_by_position(docs, ranks, pattern, shown, _DIGESTS, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _ids_by_position(docs, ranks, pattern, shown, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
