@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from conduit.functions.network import full_match
 from conduit.plans.segments import segment_count
 from conduit.session import cut_lineage, hadoop_path, local_table, scratch_path
+from conduit.sources import bzip
+from conduit.sources.bzip import Part, unpacked
 
 BUFFER = 2 * 1024 * 1024
 RANGE_BYTES = 128 * 1024 * 1024
@@ -408,21 +410,92 @@ def _compress_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["path", "name", "target", "at", "length", "plain_md5"])
 
 
-def _decompressor(range_bytes: int):
-    def decompress_objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unpack_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The plain bytes of the bzip2 blocks that begin in each range, as a part of their own."""
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples(index=False):
+            told = None
+            with _open_input(row.path) as handle:
+
+                def read(offset: int, count: int) -> bytes:
+                    handle.seek(offset)
+                    return b"".join(_pieces(handle, min(count, row.size - offset)))
+
+                with _open_output(row.part) as out:
+                    try:
+                        for piece in unpacked(read, row.size, row.offset, row.length):
+                            if isinstance(piece, Part):
+                                told = piece
+                            else:
+                                out.write(piece)
+                    except OSError as broken:
+                        raise TransferError(f"{row.name}: {broken}") from broken
+            shown = tuple(told) if told else (None, None, 0)
+            rows.append((row.path, row.name, row.target, row.part, row.offset, *shown))
+        frame = pd.DataFrame(rows, columns=["path", "name", "target", "part", "at", "first", "following", "length"])
+        yield frame.astype({"first": "Int64", "following": "Int64"})
+
+
+def _put_together(range_bytes: int, written: int):
+    """Ranges of the plain bytes from slices of parts, given as lines of offset, length and path."""
+
+    def write_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
-                digests = _RangeDigests(range_bytes)
-                with _open_input(row.path) as raw, bz2.open(raw, "rb") as handle:
-                    with _open_output(row.target) as out:
-                        while piece := handle.read(BUFFER):
-                            out.write(piece)
-                            digests.update(piece)
+                begin = row.k * written
+                digests = _RangeDigests(range_bytes, begin)
+                with _placed_writer(row.target, begin) as write:
+                    for line in row.slices.split("\n") if row.slices else ():
+                        offset, length, part = line.split(" ", 2)
+                        with _open_input(part) as handle:
+                            handle.seek(int(offset))
+                            for piece in _pieces(handle, int(length)):
+                                digests.update(piece)
+                                write(piece)
                 rows += digests.rows(row.path, row.name)
             yield pd.DataFrame(rows, columns=_DIGEST_COLUMNS)
 
-    return decompress_objects
+    return write_ranges
+
+
+def _decompressed(placed: DataFrame, range_bytes: int, mounted: bool) -> DataFrame:
+    """Decompress in as many tasks as the packed objects have ranges, then put the plain ranges together.
+
+    A store has no writes at an offset, so there a target is put together by one task.
+    """
+    ranges = byte_ranges(placed, range_bytes)
+    part = F.concat("target", F.lit(".part-"), F.col("offset").cast("string"))
+    parts = cut_lineage(
+        ranges.withColumn("part", part)
+        .select("path", "name", "size", "offset", "length", "part", "target")
+        .mapInPandas(
+            _unpack_ranges,
+            "path string, name string, target string, part string, at bigint, first bigint, following bigint, length bigint",
+        ),
+        "unpacked",
+    )
+    # every part says where the next one must begin, and the last one that there is none
+    order = Window.partitionBy("path", "name").orderBy("at")
+    agreed = F.coalesce(F.lead("first").over(order), F.lit(-1)) == F.col("following")
+    broken = parts.where("first is not null").withColumn("agreed", agreed).where(~F.col("agreed")).first()
+    if broken is not None:
+        raise TransferError(f"{broken['name']}: damaged behind bit {broken['following']}")
+    begin = F.sum("length").over(order) - F.col("length")
+    written = range_bytes if mounted else _WHOLE
+    found = parts.withColumn("begin", begin).where("length > 0")
+    ranges_of = F.sequence(F.expr(f"begin div {written}"), F.expr(f"(begin + length - 1) div {written}"))
+    pieces = found.withColumn("k", F.explode(ranges_of))
+    low = F.greatest(F.col("begin"), F.col("k") * F.lit(written))
+    high = F.least(F.expr("begin + length"), F.col("k") * F.lit(written) + F.lit(written))
+    line = F.concat_ws(" ", (low - F.col("begin")).cast("string"), (high - low).cast("string"), "part")
+    empty = parts.groupBy("path", "name", "target").agg(F.sum("length").alias("all")).where("`all` = 0")
+    whole = pieces.withColumn("low", low).withColumn("line", line).groupBy("path", "name", "target", "k").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("low", "line"))), lambda p: p["line"]), "\n").alias("slices")
+    )
+    none = empty.select("path", "name", "target", F.lit(0).cast("bigint").alias("k"), F.lit("").alias("slices"))
+    return whole.unionByName(none).mapInPandas(_put_together(range_bytes, written), _RANGE_DIGEST)
 
 
 def _publish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -486,9 +559,7 @@ def copy_objects(
         "path", "name", "size", place(staging).alias("target"), place(root).alias("dest")
     )
     if codec == "decompress":
-        done = placed.repartition(segment_count(listing), "path").mapInPandas(
-            _decompressor(range_bytes), _RANGE_DIGEST
-        )
+        done = _decompressed(placed, range_bytes, mounted)
     else:
         # stores take no writes at an offset; what is packed is cut alike everywhere
         ranges = byte_ranges(placed, range_bytes if mounted or codec else _WHOLE)
@@ -628,3 +699,4 @@ def publish_dataset(df: DataFrame, dest: str, file_format: str = "parquet", **op
 
 # Executors need no copy of this package: its task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(bzip)

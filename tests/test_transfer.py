@@ -3,13 +3,14 @@
 import bz2
 import hashlib
 import os
+import random
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conduit.operators import dml
-from conduit.sources import objects, relational
+from conduit.sources import bzip, objects, relational
 from conduit.sources.snapshots import CommitConflict, SnapshotTable
 
 
@@ -181,6 +182,62 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
         objects.publish_dataset(spark.range(3), dest)
 
 
+def archives():
+    """Plain and packed bytes: one stream of many blocks, many streams, none, and what may follow the last."""
+    draw = random.Random(3)
+    body = draw.randbytes(700_000) + b"abc" * 300_000 + b"hello world\n" * 60_000
+    streams = [b"a" * 10, b"", b"b" * 1_000_000, body[:300_000], b""]
+    return {
+        "one-1": (body, bz2.compress(body, 1)),
+        "one-9": (body, bz2.compress(body, 9)),
+        "many": (b"".join(streams), b"".join(map(bz2.compress, streams))),
+        "empty": (b"", bz2.compress(b"")),
+        "tail": (body, bz2.compress(body, 2) + b"what follows is no stream"),
+    }
+
+
+@pytest.mark.parametrize("size", [5_000, 200_000, 10**8])
+def test_blocks_of_any_archive_are_found(size):
+    for name, (plain, packed) in archives().items():
+        out, parts = [], []
+        for offset in range(0, len(packed), size):
+            for piece in bzip.unpacked(lambda o, n: packed[o : o + n], len(packed), offset, min(size, len(packed) - offset)):  # noqa: B023
+                (parts if isinstance(piece, bzip.Part) else out).append(piece)
+        assert b"".join(out) == plain, name
+        assert [p.following for p in parts] == [p.first for p in parts[1:]] + [-1] * bool(parts), name
+        assert sum(p.length for p in parts) == len(plain)
+
+
+def test_one_archive_is_unpacked_by_many_tasks(spark, tmp_path):
+    """As many tasks as ranges, and the digest of the plain object whatever the archive."""
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "packed").mkdir()
+    for name, (plain, packed) in archives().items():
+        (tmp_path / "plain" / name).write_bytes(plain)
+        (tmp_path / "packed" / f"{name}.bz2").write_bytes(packed)
+    listing = objects.list_objects(spark, str(tmp_path / "packed"))
+    size = 150_000
+    want = {r.name: (r.bytes, r.ranges_md5) for r in objects.digest_objects(objects.list_objects(spark, str(tmp_path / "plain")), size).collect()}
+    done = objects.copy_objects(listing, str(tmp_path / "opened"), "decompress", size)
+    assert {r.name.removesuffix(".bz2"): (r.bytes, r.ranges_md5) for r in done.collect()} == want
+    for name, (plain, _) in archives().items():
+        assert (tmp_path / "opened" / name).read_bytes() == plain
+    assert objects.byte_ranges(listing.where("name = 'one-9.bz2'"), size).count() > 4
+
+
+def test_damaged_archives_are_refused(spark, tmp_path):
+    plain, packed = archives()["one-1"]
+    broken = bytearray(packed)
+    broken[len(packed) // 2] ^= 1
+    for k, data in enumerate((bytes(broken), packed[:-200_000], b"no archive at all")):
+        root = tmp_path / f"in{k}"
+        root.mkdir()
+        (root / "x.bz2").write_bytes(data)
+        with pytest.raises(Exception, match="damaged|ended|not a bzip2"):
+            objects.copy_objects(objects.list_objects(spark, str(root)), str(tmp_path / f"out{k}"), "decompress", 100_000).collect()
+        assert not (tmp_path / f"out{k}" / "x").exists()
+
+
 def test_snapshots(spark, tmp_path):
     store = SnapshotTable(spark, str(tmp_path / "t"))
     assert store.version() == 0
