@@ -67,8 +67,21 @@ LOG_LEVELS = [
 # Characters the C locale counts as white space.
 C_SPACE = r"[ \t\n\x0B\f\r]"
 
-# Country and network prefix of a cell identity.
-CELL_PREFIX = "41220"
+# Lines of a network element's response, each matched whole. No line holds a line
+# end, so white space within one is any other white space.
+RESPONSE_RETURN_CODE = r"RETCODE = ([0-9]{1,9})[ \t\x0B\f]+[^\n]*"
+RESPONSE_END = r"---[ \t\x0B\f]+END"
+RESPONSE_ERROR = r"ERROR"
+RESPONSE_IMSI = r"[ \t\x0B\f]+IMSI[ \t\x0B\f]+=[ \t\x0B\f]+([0-9]+)"
+RESPONSE_IMEI = r"[ \t\x0B\f]+IMEI[ \t\x0B\f]+=[ \t\x0B\f]+([0-9]+)"
+RESPONSE_VLR = r"[ \t\x0B\f]+VLRNUM[ \t\x0B\f]+=[ \t\x0B\f]+([0-9]+)"
+RESPONSE_CELL = (
+    r"[ \t\x0B\f]+Cell[ \t\x0B\f]Identity[ \t\x0B\f]+=[ \t\x0B\f]+41220([a-zA-Z0-9]{4}[a-zA-Z0-9]{4})"
+)
+RESPONSE_ACTION = (
+    r"[^\n]*action[ \t\x0B\f]+=[ \t\x0B\f]+"
+    r"([0-9]{4}-[0-9]{2}-[0-9]{2}[ \t\x0B\f][0-9]{2}:[0-9]{2}:[0-9]{2})[^\n]*"
+)
 
 # Return codes that mean "already there" or "already gone".
 ALREADY_CODES = (5952, 245952)

@@ -149,6 +149,64 @@ def contains_route(table_name: Column, topics: Sequence[Topic]) -> Column:
     return choice.cast("bigint")
 
 
+# Characters of the grams by which texts that may hold one another are brought together.
+GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    """The different grams of a text; a shorter text is its own."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(text) - GRAM + 1, F.lit(1)))
+    return F.array_distinct(F.transform(at, lambda k: F.substr(text, k, F.lit(GRAM))))
+
+
+def _holds(holders: DataFrame, needles: DataFrame) -> DataFrame:
+    """Distinct pairs ``(holder, needle)`` of texts of which the first holds the second.
+
+    Every needle is looked up by the one of its grams that the fewest holders have; a
+    needle with a gram that none has is in none. Needles shorter than a gram are looked
+    up among the shorter pieces of holders.
+    """
+    short = F.length("needle") < GRAM
+    pieces = holders.select("holder", F.explode(_grams(F.col("holder"))).alias("gram"))
+    held = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    asked = needles.where(~short).select("needle", F.explode(_grams(F.col("needle"))).alias("gram"))
+    rarest = (
+        asked.join(held, "gram", "left")
+        .groupBy("needle")
+        .agg(F.min(F.struct("n", "gram")).alias("best"), F.bool_and(F.col("n").isNotNull()).alias("all_held"))
+        .where("all_held")
+        .select("needle", F.col("best.gram").alias("gram"))
+    )
+    found = pieces.join(rarest, "gram").where(F.contains("holder", "needle")).select("holder", "needle")
+    letters = F.split("holder", "")
+    runs = F.concat(
+        F.array(F.lit("")),
+        F.filter(letters, lambda c: c != ""),
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length("holder") - 1, F.lit(1))),
+            lambda k: F.substr(F.col("holder"), k, F.lit(2)),
+        ),
+    )
+    small = holders.select("holder", F.explode(F.array_distinct(runs)).alias("needle"))
+    return found.union(small.join(needles.where(short), "needle").select("holder", "needle")).distinct()
+
+
+def route_contains(df: DataFrame, source: str, topics: DataFrame) -> DataFrame:
+    """Add ``topic_index`` like :func:`contains_route`, for any number of topics.
+
+    Texts meet by grams, not each with each; every different source text is looked up once.
+    """
+    texts = df.select(F.col(source).alias("_text")).where(F.col(source).isNotNull()).distinct()
+    names, targets = topics.select("name").distinct(), topics.select("target").distinct()
+    named = _holds(texts.select(F.col("_text").alias("holder")), names.select(F.col("name").alias("needle")))
+    told = _holds(targets.select(F.col("target").alias("holder")), texts.select(F.col("_text").alias("needle")))
+    by_name = named.join(topics, F.col("needle") == F.col("name")).select(F.col("holder").alias("_text"), "topic_index")
+    by_target = told.join(topics, F.col("holder") == F.col("target")).select(F.col("needle").alias("_text"), "topic_index")
+    first = by_name.union(by_target).groupBy("_text").agg(F.min("topic_index").alias("topic_index"))
+    joined = df.join(first, df[source] == first["_text"], "left").drop("_text")
+    return joined.withColumn("topic_index", F.coalesce("topic_index", F.lit(0)).cast("bigint"))
+
+
 def route_exchange(
     messages: DataFrame, bindings: DataFrame, keys: Sequence[str] = ("exchange", "routing_key")
 ) -> DataFrame:

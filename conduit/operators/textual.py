@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 
 from conduit.functions.dates import iso8601
 from conduit.functions.numbers import from_little_endian, to_little_endian
-from conduit.functions.patterns import ALREADY_CODES, CELL_PREFIX, LOG_LEVELS
+from conduit.functions.patterns import (
+    ALREADY_CODES,
+    LOG_LEVELS,
+    RESPONSE_ACTION,
+    RESPONSE_CELL,
+    RESPONSE_END,
+    RESPONSE_ERROR,
+    RESPONSE_IMEI,
+    RESPONSE_IMSI,
+    RESPONSE_RETURN_CODE,
+    RESPONSE_VLR,
+)
 
 # -- lines --------------------------------------------------------------------
 
@@ -30,23 +41,6 @@ def frame_lines(df: DataFrame, column: str, longer_than: int = 0) -> DataFrame:
 
 # -- network-element responses --------------------------------------------------
 
-# The lines of a response, each matched whole. No line holds a line
-# end, so white space within one is any other white space.
-_GAP = r"[ \t\x0B\f]"
-_RETURN_CODE = rf"RETCODE = ([0-9]{{1,9}}){_GAP}+[^\n]*"
-_END = rf"---{_GAP}+END"
-_ERROR = r"ERROR"
-_IMSI = rf"{_GAP}+IMSI{_GAP}+={_GAP}+([0-9]+)"
-_IMEI = rf"{_GAP}+IMEI{_GAP}+={_GAP}+([0-9]+)"
-_VLR = rf"{_GAP}+VLRNUM{_GAP}+={_GAP}+([0-9]+)"
-_CELL = (
-    rf"{_GAP}+Cell{_GAP}Identity{_GAP}+={_GAP}+{CELL_PREFIX}([a-zA-Z0-9]{{4}}[a-zA-Z0-9]{{4}})"
-)
-_ACTION = (
-    rf"[^\n]*action{_GAP}+={_GAP}+"
-    rf"([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{_GAP}[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}})[^\n]*"
-)
-
 PENDING, FAILED, TIMED_OUT = -1, -2, -3
 
 
@@ -58,9 +52,9 @@ class Conditions:
     with it or with ``breaks``.
     """
 
-    success: str = _RETURN_CODE
-    error: str = _ERROR
-    breaks: str = _END
+    success: str = RESPONSE_RETURN_CODE
+    error: str = RESPONSE_ERROR
+    breaks: str = RESPONSE_END
 
 
 def _last(lines: Column, pattern: str) -> Column:
@@ -102,8 +96,8 @@ def parse_responses(
     lines = F.col("_lines")
     kept = [F.col(f"`{c}`") for c in df.columns if c != column]
     found = {
-        "code": conditions.success, "imsi": _IMSI, "imei": _IMEI, "vlr": _VLR, "cell": _CELL,
-        "action": _ACTION,
+        "code": conditions.success, "imsi": RESPONSE_IMSI, "imei": RESPONSE_IMEI, "vlr": RESPONSE_VLR, "cell": RESPONSE_CELL,
+        "action": RESPONSE_ACTION,
     }
     raw = staged.select(
         *kept,
@@ -121,7 +115,7 @@ def parse_responses(
         .alias("retcode"),
         *[given[name].alias(name) for name in ("imsi", "imei", "vlr")],
         # a moment that does not exist is none
-        F.regexp_replace(given["action"], _GAP, " ").try_cast("timestamp_ntz").alias("lastactive"),
+        F.regexp_replace(given["action"], r"[ \t\x0B\f]", " ").try_cast("timestamp_ntz").alias("lastactive"),
         F.conv(F.substring(given["cell"], 1, 4), 16, 10).cast("int").alias("lac"),
         F.conv(F.substring(given["cell"], 5, 4), 16, 10).cast("int").alias("cell"),
     )

@@ -185,6 +185,28 @@ def jon03_route_contains(spark, folder):
     )
 
 
+_TOPICS_SQL = """(
+    SELECT s_suppkey AS topic_index, right(s_name, 3) AS name, 'SELECT ' || s_name || ' FROM calls' AS target FROM supplier
+)"""
+
+
+@query(f"""
+    SELECT c_custkey, coalesce(min(topic_index), 0) AS topic_index
+    FROM (SELECT c_custkey, right(c_name, (1 + c_custkey % 5)::INT) AS text FROM customer)
+    LEFT JOIN {_TOPICS_SQL} ON contains(target, text) OR contains(text, name) GROUP BY c_custkey
+""")
+def jon03_route_contains_join(spark, folder):
+    topics = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("topic_index"),
+        F.right("s_name", F.lit(3)).alias("name"),
+        F.concat(F.lit("SELECT "), F.col("s_name"), F.lit(" FROM calls")).alias("target"),
+    )
+    texts = table(spark, folder, "customer").select(
+        "c_custkey", F.right("c_name", (1 + F.col("c_custkey") % 5).cast("int")).alias("text")
+    )
+    return lookups.route_contains(texts, "text", topics).select("c_custkey", "topic_index")
+
+
 @query("""
     SELECT o_orderkey, c_custkey, c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey
 """)

@@ -7,7 +7,9 @@ from pyspark.sql import types as T
 
 from conduit.operators import dml, predicates, records, typing
 from conduit.operators.textual import frame_lines
+from conduit.plans.pages import write_pages
 from conduit.plans.registry import query, table
+from conduit.session import scratch_path
 from conduit.sources.objects import NameFilter
 
 # -- projection, schema and records ---------------------------------------------
@@ -187,6 +189,19 @@ def rec12_pagination(spark, folder):
     return pages.select("o_orderkey", "row_no", "batch_id")
 
 
+@query("""
+    SELECT o_orderkey, row_no
+    FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_no, count(*) OVER () AS n FROM orders)
+    WHERE row_no <= 256 OR row_no > (n // 512) * 256 AND row_no <= (n // 512) * 256 + 256
+""")
+def rec12_pages(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    pages = write_pages(orders, ["o_orderdate", "o_orderkey"], scratch_path(spark, "pages"), total=True)
+    middle = pages.rows // 512
+    shown = pages.page(0) if middle == 0 else pages.page(0).union(pages.page(middle))
+    return shown.select("o_orderkey", "row_no")
+
+
 @query("""
     SELECT 'customer' AS source, c_custkey AS key, c_name AS name, c_mktsegment AS segment
     FROM customer
