@@ -327,6 +327,27 @@ def test_subscription_guards(spark, topic):
     run.stop()
     run.stop()
     assert run.delivered() == 40
+
+
+def test_delivered_rows_are_exact_after_many_batches_and_a_restart(spark, topic, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    for wanted in (40, 80):
+        run = runs.Subscription("100 milliseconds")
+        run.subscribe(stream(spark, topic), lambda rows, batch_id: (rows.count(), rows.count()))
+        run.start(checkpoint).processAllAvailable()
+        run.stop()
+        assert run.delivered() == wanted
+        for n in range(4):  # as many files again
+            spark.read.parquet(topic).limit(10).coalesce(1).write.mode("append").parquet(topic)
+    counts = runs.Delivered(spark, str(tmp_path / "many"))
+    for n in range(350):
+        counts.add(n, n)
+        counts.add(n, n)  # a repeated batch counts once
+    assert counts.total() == sum(range(350)) == runs.Delivered(spark, str(tmp_path / "many")).total()
+    assert len(list((tmp_path / "many" / "delivered").glob("[!.]*"))) <= 51
+
+
+def test_topics_that_exist():
     assert present_topics(("a", "b"), ["b", "c"]) == ("b",)
     with pytest.raises(LookupError):
         present_topics(("a",), [])
