@@ -18,6 +18,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -47,10 +48,10 @@ _ALIGNED_SQL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_
 class ByteCoder(ChunkTable):
     """Ids of whole texts by the byte-level tokenizer at ``path``; one per worker and file.
 
-    A chunk is a run of white space and what follows up to the next one. It begins only
-    behind a character that is no white space of any kind, so no pre-token and no look
-    ahead of the tokenizer's pattern reaches over its ends. Texts of special tokens are
-    plain text.
+    A chunk is a run of white space and what follows up to the next one, or up to a mark
+    behind a plain letter. It begins with white space only behind a character that is no
+    white space of any kind, so no pre-token and no look ahead of the tokenizer's pattern
+    reaches over its ends. Texts of special tokens are plain text.
     """
 
     _made: dict[str, "ByteCoder"] = {}
@@ -75,6 +76,9 @@ class ByteCoder(ChunkTable):
         self.shown_begin = np.cumsum(self.shown_count) - self.shown_count
         self.space = np.zeros(256, bool)
         self.space[list(b" \t\n\v\f\r")] = True
+        self.letter, self.mark = np.zeros(256, bool), np.zeros(256, bool)
+        self.letter[[*range(65, 91), *range(97, 123)]] = True
+        self.mark[list(b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~\\")] = True  # none begins a contraction
         super().__init__()
 
     def _chunks(self, texts):
@@ -89,7 +93,8 @@ class ByteCoder(ChunkTable):
         wide |= (three == 0xE3) & (two == 0x80) & (one == 0x80)
         stop = code == 255  # no text has the byte 255
         starts = np.r_[True, stop[:-1]] & ~stop
-        begin = np.flatnonzero(starts | (self.space[code] & ~self.space[one] & (one > 32) & (one != 127) & ~wide & ~stop))
+        gap = self.space[code] & (one > 32) & (one != 127) & ~wide
+        begin = np.flatnonzero(starts | gap | (self.letter[one] & self.mark[code]))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         bounds = np.cumsum(sizes)
         last = np.flatnonzero(stop)[np.searchsorted(bounds, begin, side="right")] if len(begin) else np.zeros(0, np.int64)
@@ -102,6 +107,25 @@ class ByteCoder(ChunkTable):
         self._add(names, np.array([i for ids in found for i in ids], np.int32), counts)
 
 
+class PieceSide(PieceCoder):
+    """The piece model's ids, where the library itself encodes new stretches."""
+
+    _made: dict[str, "PieceSide"] = {}
+
+    def __init__(self, path: str):
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        super().__init__(path)
+
+    def _learn(self, chunks: list[bytes], names: list[int]) -> None:
+        bare = [k for k, c in enumerate(chunks) if c == b" "]  # the library gives a lone space no id
+        if bare:
+            super()._learn([b" "], [names[bare[0]]])
+            chunks, names = ([x for k, x in enumerate(xs) if k != bare[0]] for xs in (chunks, names))
+        found = self.model.encode([c.decode()[1:] for c in chunks], num_threads=1)  # it adds the first space
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(names, np.array([i for ids in found for i in ids], np.int32), counts)
+
+
 class Side:
     """One side's tokens of a batch: ids, the document of each, and where it begins and ends."""
 
@@ -151,7 +175,7 @@ def groups_of(a: Side, b: Side, words: tuple) -> tuple[np.ndarray, list[str]]:
     return many, [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
 
 
-def _aligned_step(texts: list[bytes], coder_a: ByteCoder, coder_b: PieceCoder, base: int, words: tuple):
+def _aligned_step(texts: list[bytes], coder_a: ByteCoder, coder_b: PieceSide, base: int, words: tuple):
     """Per document: counts and digest; and its distinct pairs with the number of their links."""
     lines = [b" " + t for t in texts]
     a, b = Side(coder_a, lines, lines), Side(coder_b, texts, lines)
@@ -175,8 +199,8 @@ def _blocks(rows: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     limit = block_bytes()
 
     def run(batches):
-        coder_a, coder_b = ByteCoder.of(byte_level), PieceCoder.of(pieces)
-        base = len(coder_b.vocabulary.shown_count)
+        coder_a, coder_b = ByteCoder.of(byte_level), PieceSide.of(pieces)
+        base = coder_b.model.vocab_size()
         ids = range(max(base, len(coder_a.shown_count)))
         words = tuple(np.array([f"{i}{mark}" for i in ids], object) for mark in ",|;")
         for block, docs, texts in gathered(batches, limit):
@@ -229,7 +253,7 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     """
     ship(docs.sparkSession)
     blocks = stored(_blocks(texts_of(docs), byte_level, pieces), "links")
-    base = len(PieceCoder.of(pieces).vocabulary.shown_count)
+    base = sentencepiece.SentencePieceProcessor(model_file=pieces).vocab_size()
     counts = cut_lineage(pair_counts(blocks), "pairs")
     side = F.expr(f"pair div {base}")
     highest = counts.groupBy(side.alias("a")).agg(F.max("documents").alias("highest"))
