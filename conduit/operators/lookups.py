@@ -7,6 +7,7 @@ the sort-merge joins that remain.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -229,6 +230,32 @@ def find(df: DataFrame, entities: DataFrame, key: str, entity_key: str) -> DataF
     return df.join(entities, df[key] == entities[entity_key], "left")
 
 
+def store_entities(entities: DataFrame, key: str, path: str, buckets: int | None = None) -> DataFrame:
+    """Entities written once in buckets sorted by their key, for lookups that come again and again.
+
+    The frame that comes back lies as :func:`find`, :func:`existing` and :func:`without`
+    need it, so only their other side moves. There are as many buckets as the session has
+    shuffle partitions, unless told otherwise. The files stay below ``path``; the name they
+    were written under does not. All entities of one key lie
+    in one bucket.
+    """
+    spark = entities.sparkSession
+    many = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"conduit_entities_{uuid.uuid4().hex}"
+    # one file a bucket, so that its order survives the reading
+    dealt = entities.repartition(many, F.col(key))
+    dealt.write.bucketBy(many, key).sortBy(key).option("path", path).saveAsTable(name)
+    held = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return held
+
+
+def existing_entities(df: DataFrame, key: str, entities: DataFrame, entity_key: str) -> DataFrame:
+    """The stored entities that a frame's keys name, each once, without moving the entities."""
+    wanted = df.select(F.col(key).alias("_key")).distinct()
+    return entities.join(wanted, entities[entity_key] == wanted["_key"], "left_semi")
+
+
 def _key_set(other: DataFrame, key: str) -> DataFrame:
     # distinct combines map-side, so a hot key does not reach the join
     return other.select(F.col(key).alias("_key")).distinct()

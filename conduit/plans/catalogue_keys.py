@@ -8,6 +8,7 @@ from conduit.functions.patterns import CHANGE_FLAGS
 from conduit.operators import counters, lookups, oplog, predicates, records
 from conduit.operators.lookups import Topic
 from conduit.plans.registry import query, table
+from conduit.session import scratch_path
 
 # -- shared shapes -----------------------------------------------------------------
 
@@ -216,6 +217,16 @@ def jon04_keyed_lookup(spark, folder):
     return lookups.find(orders, customer, "o_custkey", "c_custkey").drop("o_custkey")
 
 
+@query("""
+    SELECT o_orderkey, c_custkey, c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+""")
+def jon04_stored_entities(spark, folder):
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
+    stored = lookups.store_entities(customer, "c_custkey", scratch_path(spark, "entities"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return lookups.find(orders, stored, "o_custkey", "c_custkey").drop("o_custkey")
+
+
 @query("""
     SELECT c_custkey, c_name FROM customer
     WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)

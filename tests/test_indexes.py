@@ -69,3 +69,22 @@ def test_many_topics_make_no_cross_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert all(r.topic_index == 3 * r.id for r in out.collect())
+
+
+def test_stored_entities_do_not_move(spark, tmp_path):
+    entities = spark.range(2000).select(F.col("id").alias("e"), F.concat(F.lit("n"), "id").alias("name"))
+    stored = lookups.store_entities(entities, "e", str(tmp_path / "entities"), 4)
+    rows = spark.range(500).select((F.col("id") * 7).alias("k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (lookups.find(rows, stored, "k", "e"), lookups.existing_entities(rows, "k", stored, "e")):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan
+            assert plan.count("Exchange hashpartitioning") == 1, plan  # of the rows, none of the entities
+        found = {r.k: r.name for r in lookups.find(rows, stored, "k", "e").collect()}
+        assert found == {k * 7: f"n{k * 7}" if k * 7 < 2000 else None for k in range(500)}
+        assert lookups.existing_entities(rows, "k", stored, "e").count() == len([k for k in range(500) if k * 7 < 2000])
+        assert lookups.without(rows, "k", stored, "e").count() == len([k for k in range(500) if k * 7 >= 2000])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
