@@ -111,7 +111,48 @@ QUERIES = {
     )
 }
 
+def _crc_table() -> list[int]:
+    """The table of CRC-32 by bytes, from its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = (byte >> 1) ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return table
+
+
+def _words_sql(name: str, more: str = "") -> str:
+    """``w``: the words of every text of a table; ``g``: its runs of one to three of them."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+{name}_words AS (SELECT {more} regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {name}),
+{name}_runs AS (SELECT {more} array_to_string(list_slice(w, p, p + k - 1), ' ') AS g
+      FROM (SELECT {more} w, k, unnest(range(1, len(w) - k + 2)) AS p FROM {name}_words, range(1, 4) t(k)))"""
+
+
 ORACLES = {
+    "op12_resampled": rf"""
+WITH {_words_sql("documents", "doc_id,")}, {_words_sql("benchmark")},
+hashed AS (SELECT g, xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(range(1, len(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+               lambda a, y: xor(a >> 8, ({_crc_table()})[(xor(a, y) & 255) + 1])), 4294967295) % 10000 AS bucket
+           FROM (SELECT g, hex(encode(g)) AS x FROM (SELECT g FROM documents_runs UNION SELECT g FROM benchmark_runs))),
+source AS (SELECT bucket, count(*) AS s FROM documents_runs JOIN hashed USING (g) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM benchmark_runs JOIN hashed USING (g) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM documents_runs) AS s_all, (SELECT count(*) FROM benchmark_runs) AS t_all),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)::DOUBLE
+               / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+          FROM source LEFT JOIN target USING (bucket), totals),
+weights AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight
+            FROM documents_runs JOIN hashed USING (g) JOIN gains USING (bucket) GROUP BY doc_id),
+scores AS (SELECT doc_id, len(w) >= 20 AS free, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+               / 4294967296::DOUBLE)))::BIGINT AS score
+           FROM documents_words LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY free ORDER BY score DESC, doc_id) AS place,
+             5 * count(*) FILTER (free) OVER () // 100 AS drawn FROM scores)
+SELECT doc_id, n_features, weight, score, CASE WHEN free AND place <= drawn THEN place END AS rank FROM ranked
+""",
     "op10_substring_dedup": r"""
 WITH d AS (SELECT doc_id,
              list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w

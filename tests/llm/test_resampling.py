@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import harness
 import pytest
 from fixtures import documents, frame, prose
 from pyspark.sql import functions as F
@@ -84,3 +85,7 @@ def test_a_line_is_looked_at_once_in_a_task():
     texts = pa.array(["same line\nother"] * 1000 + ["same line"])
     rows = [r for b in resampling._line_batches([pa.record_batch([texts], ["text"])]) for r in b.to_pylist()]
     assert Counter((r["line"], r["n"]) for r in rows) == Counter([(b"same line", 1), (b"other", 1), (None, 1000), (None, 999)])
+
+
+def test_equals_its_sql(spark, folder):
+    assert harness.differences(queries.op12_resampled(spark, folder), harness.connect(folder), queries.ORACLES["op12_resampled"]) is None
