@@ -138,13 +138,13 @@ def test_spans_grow_with_the_logarithm(spark, tmp_path):
     """What a batch opens does not grow with the log, and merging loses nothing."""
     log = spans.SpanLog(str(tmp_path / "log"), spark.range(1).schema, ["id"], buckets=4, fan=3)
     opened = []
-    for n in range(30):
+    for n in range(20):
         log.append(spark.range(n * 10, n * 10 + 10, 1, 1), n)
         log.settle(spark, n)
         opened.append(len(log.read(spark, [1]).inputFiles()))
         assert [b[0] - a[1] for a, b in zip(log.spans(spark), log.spans(spark)[1:])] == [1] * (len(log.spans(spark)) - 1)
-    assert max(opened[15:]) <= max(opened[:15]) + 2 and max(opened) <= 8
-    assert sorted(r.id for r in log.read(spark).collect()) == list(range(300))
+    assert max(opened[10:]) <= max(opened[:10]) + 2 and max(opened) <= 8
+    assert sorted(r.id for r in log.read(spark).collect()) == list(range(200))
     assert sorted(r.id for r in log.read(spark, before=2).collect()) == list(range(20))
     some = log.touched(spark.range(5, 6))
     assert 5 in {r.id for r in log.read(spark, some).collect()}
@@ -245,7 +245,7 @@ def at(second):
 
 
 def filled(spark, path):
-    fold = state.live_hashes(path)
+    fold = state.store_operations(path)
     for n in range(6):
         fold(spark.createDataFrame([(f"k{n % 3}", at(n * 5 + 1), n, "hincrby", f"f{n}", n + 1)], OPS), n)
     return fold
