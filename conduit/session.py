@@ -53,6 +53,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def in_shared_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path lies in the checkpoint folder that was set for this session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        return False
+    shared, asked = (
+        handle.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+        for fs, handle in (hadoop_path(spark, folder), hadoop_path(spark, path))
+    )
+    return asked.startswith(f"{shared.rstrip('/')}/")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's part of the shared folder."""
     application = spark.sparkContext.applicationId

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from conduit.functions.network import full_match
 from conduit.plans.segments import segment_count
-from conduit.session import cut_lineage, hadoop_path, local_table, scratch_path
+from conduit.session import cut_lineage, hadoop_path, in_shared_folder, local_table, scratch_path
 from conduit.sources import bzip
 from conduit.sources.bzip import Part, unpacked
 
@@ -513,11 +513,15 @@ def _publish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _qualified(spark: SparkSession, path: str, shared: bool) -> str:
-    """A destination with its scheme; a mount of a cluster must be declared shared."""
+    """A destination with its scheme; a mount of a cluster must be declared shared.
+
+    The checkpoint folder is: every executor reaches it.
+    """
     if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
         fs, handle = hadoop_path(spark, path)
         path = handle.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
-    if _scheme_of(path) == "file" and not shared and not spark.sparkContext.master.startswith("local"):
+    one_machine = spark.sparkContext.master.startswith("local")
+    if _scheme_of(path) == "file" and not (shared or one_machine or in_shared_folder(spark, path)):
         raise TransferError(f"{path} may be another folder on every executor; say shared=True if not")
     return path
 
@@ -534,7 +538,8 @@ def copy_objects(
     ``codec`` is None, ``compress`` or ``decompress`` (bzip2). Objects are
     written under staging names and get their final ones only when whole. A
     destination without a scheme is one of the default file system; on a cluster a
-    mount must be one that all executors share, and ``shared`` says so. Returns
+    mount must be one that all executors share: ``shared`` says so, and of what lies in
+    the checkpoint folder it is known. Returns
     ``(path, name, dest, bytes, ranges_md5)``; the digest is that of the plain bytes,
     also where the copy is compressed, so all three forms compare.
     """

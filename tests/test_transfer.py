@@ -5,11 +5,14 @@ import hashlib
 import os
 import random
 
+import duckdb
+import harness
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conduit.operators import dml
+from conduit.plans import catalogue
 from conduit.sources import bzip, objects, relational
 from conduit.sources.snapshots import CommitConflict, SnapshotTable
 
@@ -158,6 +161,38 @@ def test_copy_onto_itself_is_refused(spark, tree):
         objects.copy_objects(listing, "/nowhere", "zip")
 
 
+# On a cluster, a mount in the checkpoint folder needs no word that executors share it.
+IN_THE_SHARED_FOLDER = [
+    "agg11_listing_totals",
+]
+
+
+@pytest.mark.parametrize("name", IN_THE_SHARED_FOLDER)
+def test_objects_in_the_shared_folder_of_a_cluster(spark, tmp_path, monkeypatch, name):
+    tables = str(tmp_path / "tables")
+    rows = [(k, f"Supplier {k}", k % 3) for k in (1, 2, 40, 79)]
+    suppliers = spark.createDataFrame(rows, "s_suppkey bigint, s_name string, s_nationkey int").coalesce(1)
+    suppliers.write.parquet(f"{tables}/supplier.parquet")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster:7077")
+    got = catalogue.QUERIES[name](spark, tables)
+    if name in catalogue.ORACLES:
+        duck = duckdb.connect()
+        duck.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tables}/supplier.parquet/*.parquet'")
+        assert harness.differences(got, duck, catalogue.ORACLES[name]) is None
+    else:
+        listing = objects.list_objects(spark, tables, objects.NameFilter(r".*\.parquet(/.*)?"))
+        assert sorted(got.collect()) == sorted(objects.plain_digests(listing).select(got.columns).collect())
+
+
+def test_other_mounts_of_a_cluster_are_refused(spark, tree, tmp_path, monkeypatch):
+    listing, shared = objects.list_objects(spark, str(tree[0])), spark.conf.get("spark.checkpoint.dir")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster:7077")
+    for dest in (str(tmp_path / "x"), f"{shared}-other/x", f"{shared}/../x"):
+        with pytest.raises(objects.TransferError, match="shared=True"):
+            objects.copy_objects(listing, dest)
+    assert objects.copy_objects(listing, str(tmp_path / "x"), shared=True).count() == len(tree[1])
+
+
 def test_short_source_fails_and_publishes_nothing(spark, tree, tmp_path):
     listing = objects.list_objects(spark, str(tree[0])).withColumn("size", F.col("size") + 5)
     dest = tmp_path / "short"
