@@ -164,6 +164,7 @@ def test_copy_onto_itself_is_refused(spark, tree):
 # On a cluster, a mount in the checkpoint folder needs no word that executors share it.
 IN_THE_SHARED_FOLDER = [
     "agg11_listing_totals",
+    "snk01_bulk_copy",
 ]
 
 
