@@ -165,6 +165,7 @@ def test_copy_onto_itself_is_refused(spark, tree):
 IN_THE_SHARED_FOLDER = [
     "agg11_listing_totals",
     "snk01_bulk_copy",
+    "snk01_table_copy",
 ]
 
 
