@@ -166,6 +166,7 @@ IN_THE_SHARED_FOLDER = [
     "agg11_listing_totals",
     "snk01_bulk_copy",
     "snk01_table_copy",
+    "snk02_compressed_objects",
 ]
 
 
