@@ -167,6 +167,7 @@ IN_THE_SHARED_FOLDER = [
     "snk01_bulk_copy",
     "snk01_table_copy",
     "snk02_compressed_objects",
+    "src01_object_listing",
 ]
 
 
