@@ -168,6 +168,7 @@ IN_THE_SHARED_FOLDER = [
     "snk01_table_copy",
     "snk02_compressed_objects",
     "src01_object_listing",
+    "src03_object_content",
 ]
 
 
