@@ -7,6 +7,8 @@ reaches its reducer as one row per map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from conduit.functions.numbers import parse_identity
 from conduit.plans.segments import ordered_segments, running
+from conduit.session import cut_lineage
 
 # The five kinds an identity's statistics tell apart.
 KINDS = ("p2p", "bill", "co", "ci", "pay")
@@ -61,25 +64,34 @@ def add_to_fields(
 ) -> DataFrame:
     """Totals ``(key, field, value, whole)`` of increments, one field per named amount.
 
-    Fields of whole amounts are summed as bigint, which ``whole`` holds exactly; the
-    others as double. ``value`` is the double of either. A field whose amounts are all
-    NULL was never touched and has no row.
+    Fields of whole amounts are summed exactly, and ``whole`` holds that sum: a bigint, or
+    decimal(38,0) if any total of the frame is beyond one (a stream, whose totals are not
+    known beforehand, fails there). The others are summed as double. ``value`` is the
+    double of either. A field whose amounts are all NULL was never touched and has no row.
     """
     kinds = df.select(*[a.alias(f"_{at}") for at, a in enumerate(fields.values())]).schema.fields
     exact = [isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for f in kinds]
+    # sums of narrower amounts need 2**32 rows of a key to pass a bigint
+    wide = [isinstance(f.dataType, T.LongType) and not df.isStreaming for f in kinds]
     totals = df.groupBy(key.alias(name)).agg(
         *[
-            F.sum(amount.cast("bigint" if exact[at] else "double")).alias(f"_{at}")
+            F.sum(amount.cast("decimal(20,0)" if wide[at] else "bigint" if exact[at] else "double")).alias(f"_{at}")
             for at, amount in enumerate(fields.values())
         ]
     )
+    whole = "bigint"
+    if any(wide):
+        totals = cut_lineage(totals, "totals")  # looked at twice, and one row per key
+        beyond = reduce(or_, [~F.col(f"_{at}").between(-(2**63), 2**63 - 1) for at, w in enumerate(wide) if w])
+        if not totals.filter(beyond).isEmpty():
+            whole = "decimal(38,0)"
     # one row per key so far; only now is it spread to one per field
     pairs = F.array(
         *[
             F.struct(
                 F.lit(field).alias("field"),
                 F.col(f"_{at}").cast("double").alias("value"),
-                (F.col(f"_{at}") if exact[at] else F.lit(None)).cast("bigint").alias("whole"),
+                (F.col(f"_{at}") if exact[at] else F.lit(None)).cast(whole).alias("whole"),
             )
             for at, field in enumerate(fields)
         ]

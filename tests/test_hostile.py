@@ -91,6 +91,20 @@ def test_exact_counters(spark):
     assert got == {("a", "n"): (float(2**53 + 1), 2**53 + 1), ("a", "x"): (0.5, None)}
 
 
+def test_counters_beyond_a_bigint(spark):
+    most, fields = 2**63 - 1, {"n": F.col("n"), "m": F.col("m"), "x": F.col("x")}
+    rows = [("a", most, 1, 0.5), ("a", most, 2, None), ("b", -most, None, None), ("b", -1, None, None), (None, -most, 1, 1.0), (None, -2, 1, 1.0)]
+    df = spark.createDataFrame(rows, "k string, n long, m int, x double")
+    found = counters.add_to_fields(df, F.col("k"), fields)
+    assert {(r.key, r.field): (r.value, r.whole) for r in found.collect()} == {
+        ("a", "n"): (float(2 * most), 2 * most), ("a", "m"): (3.0, 3), ("a", "x"): (0.5, None),
+        ("b", "n"): (-(2.0**63), -(2**63)), (None, "n"): (-(2.0**63), -(2**63) - 1), (None, "m"): (2.0, 2), (None, "x"): (2.0, None),
+    }
+    # as long as all totals fit, the type is that of the SQL
+    fits = counters.add_to_fields(df.where("k = 'b'"), F.col("k"), fields)
+    assert fits.schema["whole"].dataType == T.LongType() and fits.first().whole == -(2**63)
+
+
 def test_repeated_members(spark):
     df = spark.createDataFrame([('{"k":1,"k":2}',)], "v string")
     row = records.parse_json_rows(df, "v", T.StructType.fromDDL("k bigint")).first()
